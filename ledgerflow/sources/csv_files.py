@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +13,7 @@ from ledgerflow.session import path_exists
 
 MALFORMED = "_malformed_line"
 EXTRA_CELLS = "extra_cells"
-# A text no cell holds: with it, an empty cell reads as '' and only a missing cell as NULL.
-NO_NULL = "\u0000"
+QUOTED_CELL = r'"([^"]|"")*"'
 
 
 def normalized_names(columns: list[str]) -> list[str]:
@@ -62,7 +61,6 @@ def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> Dat
         "header": True,
         "multiLine": multi_line,
         "escape": '"',
-        "nullValue": NO_NULL,
         "emptyValue": "",
         "encoding": "UTF-8",
     }
@@ -76,12 +74,19 @@ def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> Dat
         .option("enforceSchema", False)
         .csv(path)
     )
-    # A malformed line with a value in its last column has too many cells, else too few.
-    too_long = F.when(F.col(f"`{header[-1]}`").isNotNull(), F.col(MALFORMED))
+    # The reader gives NULL for an empty cell and for a missing one. Only lines that do not fit
+    # the header can miss cells, and there the cells are counted.
+    cells = F.size(F.split(F.regexp_replace(MALFORMED, QUOTED_CELL, ""), ",", -1))
+    fits = F.col(MALFORMED).isNull()
+
+    def cell(place: int, name: str) -> Column:
+        return F.coalesce(strip_text(F.col(f"`{name}`")), F.when(fits | (cells > place), ""))
+
+    names = normalized_names(header)
     return as_raw_records(
         lines.select(
-            *[strip_text(F.col(f"`{old}`")).alias(new) for old, new in zip(header, normalized_names(header))],
-            too_long.alias(EXTRA_CELLS),
+            *[cell(place, old).alias(new) for place, (old, new) in enumerate(zip(header, names))],
+            F.when(cells > len(header), F.col(MALFORMED)).alias(EXTRA_CELLS),
         ),
         extra_cells=EXTRA_CELLS,
     )
