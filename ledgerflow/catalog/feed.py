@@ -67,11 +67,15 @@ def _text_fields() -> dict[str, Column]:
 
 def feed(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Ten text columns, plus the source columns named in ``keep``."""
-    own = F.concat(F.lit("TXN-"), F.col("e"))
-    replay = F.concat(F.lit("TXN-R"), F.col("e"))
-    ids = F.when(F.col("e") % 50 == 0, F.array(own, replay)).otherwise(F.array(own))
-    fields = {"transaction_id": F.explode(ids), **_text_fields()}
-    return events(spark, sf_dir).select(*[fields[name].alias(name) for name in FIELDS], *keep)
+    texts = _text_fields()
+
+    def record(prefix: str) -> Column:
+        fields = {"transaction_id": F.concat(F.lit(prefix), F.col("e")), **texts}
+        return F.struct(*[fields[name].alias(name) for name in FIELDS])
+
+    own, replay = record("TXN-"), record("TXN-R")
+    records = F.when(F.col("e") % 50 == 0, F.array(own, replay)).otherwise(F.array(own))
+    return events(spark, sf_dir).select(F.inline(records), *keep)
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

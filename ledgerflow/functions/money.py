@@ -18,6 +18,7 @@ NUMBER = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 class Amount:
     """Expressions over one amount column; all are false or NULL for NULL text."""
 
+    raw: Column
     text: Column
     number: Column
     positive: Column
@@ -27,7 +28,7 @@ class Amount:
 
     @property
     def valid(self) -> Column:
-        return F.when(self.text.rlike(COMMON), self.text.rlike("[1-9]")).otherwise(
+        return F.when(self.raw.rlike(COMMON), self.raw.rlike("[1-9]")).otherwise(
             self.number & self.positive & self.in_cents & self.value.isNotNull()
         )
 
@@ -42,12 +43,13 @@ def parse_amount(raw: Column) -> Amount:
     wide = text.try_cast("decimal(38,18)")
     long_tail = ~text.rlike("[eE]") & text.rlike(r"\.[0-9]{2}[0-9]*[1-9]")
     return Amount(
+        raw=raw,
         text=text,
         number=text.rlike(NUMBER),
         positive=~text.startswith("-") & text.rlike(r"\A\+?[0.]*[1-9]"),
         in_cents=~long_tail & F.coalesce((F.round(wide, 2) == wide) & (wide != 0), F.lit(True)),
         wide=wide,
-        value=F.when(text.rlike(COMMON), text.try_cast("decimal(18,2)")).otherwise(
+        value=F.when(raw.rlike(COMMON), raw.try_cast("decimal(18,2)")).otherwise(
             wide.try_cast("decimal(18,2)")
         ),
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import utc_date, utc_literal
-from ledgerflow.schema import GOLD_COMPARED, MONEY, STAGING_COLUMNS
+from ledgerflow.schema import CURRENCIES, GOLD_COMPARED, MERCHANT_CATEGORIES, MONEY, STAGING_COLUMNS
 
 ACCOUNT_DAY = ["account_id", "transaction_date"]
 
@@ -40,43 +43,76 @@ def _money(total: Column) -> Column:
     return F.coalesce(total, F.lit(0)).cast(MONEY)
 
 
-def summarize(completed: DataFrame) -> DataFrame:
+def _code(column: str, codes: dict[str, int]) -> Column:
+    """The number that stands for a value of a fixed list; a value outside it stops the job."""
+    code = reduce(lambda chain, item: chain.when(F.col(column) == item[0], item[1]), codes.items(), F)
+    return code.otherwise(F.raise_error(F.concat(F.lit(f"unknown {column}: "), F.col(column))).cast("int"))
+
+
+def _name(code: Column, codes: dict[str, int]) -> Column:
+    return reduce(lambda chain, item: chain.when(code == item[1], item[0]), codes.items(), F)
+
+
+def _from_cents(total: Column) -> Column:
+    return (F.coalesce(total, F.lit(0)).cast("decimal(20,0)") / 100).cast(MONEY)
+
+
+def summarize(
+    completed: DataFrame,
+    currencies: Sequence[str] = CURRENCIES,
+    categories: Sequence[str] = MERCHANT_CATEGORIES,
+) -> DataFrame:
     """Account/day totals in one scan.
 
     The first aggregation groups every row by category and by merchant at once. Both are partial
     in the map tasks and spread a busy account/day over its categories and merchants; merchants
     are then counted, never gathered into a set. The second aggregation sees at most one row per
-    category or merchant of a task's share, and only currencies (a short fixed list) are
-    collected.
+    category or merchant of a task's share.
+
+    All state is fixed-width numbers, so both aggregate by hash without sorting: money in cents,
+    the currencies of a day as bits, and the top category as the largest of spend followed by
+    place, where a smaller name has the larger place and so wins a tie.
     """
-    parts = completed.groupingSets(
+    bits = {name: 1 << place for place, name in enumerate(sorted(currencies))}
+    places = {name: place for place, name in enumerate(sorted(categories, reverse=True))}
+    rows = completed.withColumns(
+        {
+            "amount": (F.col("amount") * 100).cast("bigint"),
+            "currency_bit": _code("currency", bits),
+        }
+    )
+    parts = rows.groupingSets(
         [[*ACCOUNT_DAY, "merchant_category"], [*ACCOUNT_DAY, "merchant_name"]],
         *ACCOUNT_DAY,
         "merchant_category",
         "merchant_name",
     ).agg(
-        F.grouping("merchant_name").alias("is_category"),
+        (F.grouping("merchant_name") == 1).alias("is_category"),
         F.sum(_amount_of("debit")).alias("debit"),
         F.sum(_amount_of("credit")).alias("credit"),
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set("currency").alias("currencies"),
+        F.bit_or("currency_bit").alias("currency_bits"),
     )
-    is_category = F.col("is_category") == 1
-    spend_rank = F.struct(-F.col("debit"), F.col("merchant_category"))
+    is_category = F.col("is_category")
+    spend = F.col("debit").cast("decimal(30,0)") * 100 + _code("merchant_category", places)
     daily = parts.groupBy(*ACCOUNT_DAY).agg(
-        _money(F.sum(F.when(is_category, F.col("debit")))).alias("total_debit_amount"),
-        _money(F.sum(F.when(is_category, F.col("credit")))).alias("total_credit_amount"),
+        F.sum(F.when(is_category, F.col("debit"))).alias("debit"),
+        F.sum(F.when(is_category, F.col("credit"))).alias("credit"),
         F.sum(F.when(is_category, F.col("rows"))).alias("transaction_count"),
         F.count_if(~is_category).alias("distinct_merchants"),
-        F.min_by("merchant_category", F.when(is_category & F.col("debit").isNotNull(), spend_rank)).alias(
-            "top_category"
-        ),
-        F.array_join(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(is_category, F.col("currencies")))))),
-            ",",
-        ).alias("currencies"),
+        F.max(F.when(is_category, spend)).alias("top_spend"),
+        F.bit_or("currency_bits").alias("currency_bits"),
     )
-    return daily.withColumn("net_amount", _net()).select(*GOLD_COMPARED)
+    held = [F.when(F.col("currency_bits").bitwiseAND(bit) != 0, name) for name, bit in bits.items()]
+    return daily.select(
+        *ACCOUNT_DAY,
+        _from_cents(F.col("debit")).alias("total_debit_amount"),
+        _from_cents(F.col("credit")).alias("total_credit_amount"),
+        "transaction_count",
+        "distinct_merchants",
+        _name(F.col("top_spend") % 100, places).alias("top_category"),
+        F.concat_ws(",", *held).alias("currencies"),
+    ).select("*", _net().alias("net_amount")).select(*GOLD_COMPARED)
 
 
 def _net() -> Column:

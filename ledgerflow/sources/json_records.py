@@ -12,9 +12,13 @@ _RECORD = T.StructType([T.StructField(name, T.StringType()) for name in (*FIELDS
 
 
 def json_records(rows: DataFrame, payload: str = "raw_payload") -> DataFrame:
-    """Values as text, untrimmed; the key list tells a missing field from an explicit null."""
-    return rows.select(
-        F.from_json(payload, _RECORD).alias("record"),
-        F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>")).alias("field_names"),
-        F.col(payload).alias("raw_payload"),
-    ).select("record.*", "field_names", "raw_payload")
+    """Values as text, untrimmed; the key list tells a missing field from an explicit null.
+
+    The generator parses each record once. A plain projection would be merged into the rules
+    that use its columns and parse the record again for each of them.
+    """
+    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    parsed = F.struct(F.from_json(payload, _RECORD).alias("record"), keys.alias("field_names"))
+    return rows.select(F.inline(F.array(parsed)), F.col(payload).alias("raw_payload")).select(
+        "record.*", "field_names", "raw_payload"
+    )
