@@ -72,6 +72,7 @@ def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> Dat
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("enforceSchema", False)
+        .option("columnPruning", False)  # with it, a line is not compared with the whole header
         .csv(path)
     )
     # The reader gives NULL for an empty cell and for a missing one. Only lines that do not fit
