@@ -505,7 +505,9 @@ SELECT 'transactions_ingestion' AS pipeline_name, 'csv' AS source,
        'batch-2' AS last_run_batch_id, records_read, records_valid FROM first""",
     "natural_key_hash": f"{KEYED} SELECT transaction_id, natural_key_hash FROM keyed",
     "dup_ranked": f"{BRONZE} SELECT transaction_id, duplicate_group_id, duplicate_rank, is_duplicate FROM bronze",
-    "dup_ranked_in_slices": f"{BRONZE} SELECT transaction_id, duplicate_rank, is_duplicate FROM bronze",
+    "dup_ranked_by_position": f"""{VALID} SELECT transaction_id,
+       row_number() OVER (PARTITION BY status ORDER BY transaction_id) AS duplicate_rank,
+       row_number() OVER (PARTITION BY status ORDER BY transaction_id) > 1 AS is_duplicate FROM valid""",
     "dup_rows": f"""{BRONZE} SELECT {BUSINESS}, {AUDIT_1}, natural_key_hash, duplicate_group_id, duplicate_rank
 FROM bronze WHERE is_duplicate""",
     "dup_groups": f"""{KEYED} SELECT natural_key_hash AS duplicate_group_id, count(*) AS group_rows,

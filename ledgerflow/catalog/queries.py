@@ -321,10 +321,19 @@ def dup_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def dup_ranked_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ranking with every repeated key treated as too large for one task."""
+def dup_ranked_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking when keys are too large for one task: one key per status holds all its rows."""
     rows = valid_rows(_validated(spark, sf_dir))
-    return flag_duplicates(rows, hot_rows=1).select("transaction_id", "duplicate_rank", "is_duplicate")
+    fixed = rows.select("transaction_id", "status").withColumns(
+        {
+            "account_id": F.lit("ACC-0001"),
+            "transaction_date": F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"),
+            "amount": F.lit("1.00").cast(MONEY),
+            **{name: F.lit("same") for name in FIELDS[4:8]},
+            "country_code": F.lit("SE"),
+        }
+    )
+    return flag_duplicates(fixed.select(*FIELDS), hot_rows=1000).select("transaction_id", "duplicate_rank", "is_duplicate")
 
 
 @query

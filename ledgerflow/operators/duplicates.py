@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions.money import amount_text
 from ledgerflow.functions.text import format_utc, hash_of, utc_date
 from ledgerflow.schema import DUPLICATES_COLUMNS, NATURAL_KEY
+from ledgerflow.session import scratch_path
 
-# A group up to this size is ranked by one task; a larger one is split into slices.
+# A group up to this size is ranked by one task; a larger one is spread over several.
 HOT_GROUP_ROWS = 1_000_000
-SLICES = 128
-SKETCH_ITEMS = 1024
+# The largest groups only: a group beyond these holds less than a thousandth of all rows.
+HOT_GROUPS = 1024
 HOT_GROUPS_PER_DATE = 64
+SKETCH_ITEMS = 1024
+# monotonically_increasing_id: the partition above these bits, the row number below.
+ROW_BITS = 33
 
 
 def natural_key_hash() -> Column:
@@ -32,11 +40,11 @@ def with_natural_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("natural_key_hash", natural_key_hash())
 
 
-def find_hot_groups(keyed: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> list[str]:
-    """Hashes of groups too large for one task, by heavy-hitter sketches.
+def find_hot_groups(keyed: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> dict[str, int]:
+    """Groups too large for one task and their estimated rows, by heavy-hitter sketches.
 
     A sketch costs no shuffle of the keys: each task sends one of bounded size per date, and they
-    are merged in two steps. Sketches only decide how work is split. Ranks are exact whichever
+    are merged in two steps. Sketches only decide how work is spread. Ranks are exact whichever
     groups they report. A group that goes unreported holds under a percent of its date's rows.
     """
     lane = F.spark_partition_id() % 64
@@ -49,86 +57,87 @@ def find_hot_groups(keyed: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> list[st
         F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
     )
     heavy = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_GROUPS_PER_DATE}))"))
-    return [row[0] for row in heavy.filter(F.col("count") > hot_rows).select("item").collect()]
+    largest = heavy.filter(F.col("count") > hot_rows).orderBy(F.desc("count"), "item").limit(HOT_GROUPS)
+    return {row["item"]: row["count"] for row in largest.collect()}
 
 
 def rank_duplicates(
-    keyed: DataFrame, hot_groups: list[str] | None = None, files_per_date: DataFrame | None = None
+    keyed: DataFrame,
+    hot_groups: dict[str, int] | None = None,
+    files_per_date: DataFrame | None = None,
+    rows_per_piece: int = HOT_GROUP_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Rank the rows of each natural key by (transaction_date, transaction_id); rank 1 is canonical.
 
-    ``hot_groups`` come from :func:`find_hot_groups`. Their rows are cut into id ranges that are
-    ranked side by side, and the rank inside a range is raised by the number of rows in the
-    ranges before it. Without hot groups the plan is one window.
+    Most groups are ranked by one window. ``hot_groups`` (from :func:`find_hot_groups`) are ranked
+    by position instead, see :func:`ranked_by_position`.
 
-    ``files_per_date`` (``event_date``, ``files``) asks for rows already laid out for a write
-    partitioned by ``event_date``: the one shuffle then serves the ranking and the file layout.
+    ``files_per_date`` (``event_date``, ``files``) asks for rows laid out for a write partitioned
+    by ``event_date``: the one shuffle then serves the ranking and the file layout.
     """
-    group = ["natural_key_hash"]
     if hot_groups:
-        keyed = _with_slices_and_offsets(keyed, hot_groups)
-        group.append("slice")
+        is_hot = F.col("natural_key_hash").isin(*hot_groups)
+        pieces = math.ceil(sum(hot_groups.values()) / rows_per_piece) + 1
+        hot = ranked_by_position(keyed.filter(is_hot), pieces, scratch)
+        ranked = _ranked_by_window(keyed.filter(~is_hot), files_per_date).unionByName(hot)
+    else:
+        ranked = _ranked_by_window(keyed, files_per_date)
+    return ranked.withColumns(
+        {"is_duplicate": F.col("duplicate_rank") > 1, "duplicate_group_id": F.col("natural_key_hash")}
+    )
+
+
+def _ranked_by_window(keyed: DataFrame, files_per_date: DataFrame | None) -> DataFrame:
+    group = ["natural_key_hash"]
     if files_per_date is not None:
-        slot = F.pmod(F.xxhash64(*group), F.col("files"))
+        slot = F.pmod(F.xxhash64("natural_key_hash"), F.col("files"))
         keyed = keyed.join(F.broadcast(files_per_date), "event_date").withColumn("slot", slot)
         keyed = keyed.repartition("event_date", "slot")
         group = ["event_date", "slot", *group]
     in_order = Window.partitionBy(*group).orderBy("transaction_date", "transaction_id")
-    rank = F.row_number().over(in_order).cast("bigint")
-    if hot_groups:
-        rank = rank + F.coalesce("rows_before", F.lit(0))
-    ranked = keyed.withColumn("duplicate_rank", rank)
-    return ranked.withColumns(
-        {"is_duplicate": F.col("duplicate_rank") > 1, "duplicate_group_id": F.col("natural_key_hash")}
-    ).drop("slice", "rows_before", "slot", "files")
+    return keyed.withColumn("duplicate_rank", F.row_number().over(in_order).cast("bigint")).drop("slot", "files")
 
 
-def slice_points(keyed: DataFrame, hot_groups: list[str]) -> DataFrame:
-    """For each hot group, up to ``SLICES`` ids drawn evenly from it, sorted.
+def ranked_by_position(keyed: DataFrame, pieces: int, scratch: str | None = None) -> DataFrame:
+    """Ranks of a few groups of any size, without putting a group into one task.
 
-    The id with the smallest hash in each hash class is an unbiased, repeatable draw, and the
-    partial aggregation leaves at most ``SLICES`` candidates per task and group.
+    The rows are range-partitioned and sorted by group and id, so a group spans as many
+    partitions as its size needs. A row's position in the whole order is the size of the
+    partitions before its own plus its number there, and its rank is its position counted from
+    the first of its group. The sorted rows are written once: positions must come from one and
+    the same order even if a task runs twice.
     """
-    hot = keyed.filter(F.col("natural_key_hash").isin(hot_groups))
-    draw = F.xxhash64("transaction_id")
-    return (
-        hot.groupBy("natural_key_hash", F.pmod(draw, F.lit(SLICES)).alias("hash_class"))
-        .agg(F.min_by("transaction_id", F.xxhash64(F.lit(1), "transaction_id")).alias("point"))
-        .groupBy("natural_key_hash")
-        .agg(F.sort_array(F.collect_list("point")).alias("points"))
+    spark = keyed.sparkSession
+    path = scratch or scratch_path(spark, "hot-groups")
+    order = ["natural_key_hash", "transaction_date", "transaction_id"]
+    in_order = keyed.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
+    in_order.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    schema = T.StructType([*keyed.schema.fields, T.StructField("place", T.LongType())])
+    rows = spark.read.schema(schema).parquet(path).withColumns(
+        {
+            "piece": F.shiftright("place", ROW_BITS),
+            "number": F.col("place").bitwiseAND((1 << ROW_BITS) - 1),
+        }
     )
-
-
-def with_slices(keyed: DataFrame, hot_groups: list[str]) -> DataFrame:
-    """Add ``slice``: the number of slice points at or below the id, 0 outside hot groups."""
-    points = F.broadcast(slice_points(keyed, hot_groups))
-    passed = F.size(F.filter("points", lambda point: point <= F.col("transaction_id")))
-    return (
-        keyed.join(points, "natural_key_hash", "left")
-        .withColumn("slice", F.when(F.col("points").isNull(), 0).otherwise(passed))
-        .drop("points")
+    # One small row per partition and, below, one per hot group.
+    sizes = rows.groupBy("piece").agg(F.count(F.lit(1)).alias("size")).orderBy("piece").collect()
+    starts = [0, *accumulate(row["size"] for row in sizes)]
+    before = spark.createDataFrame(
+        [(row["piece"], start) for row, start in zip(sizes, starts)], "piece bigint, rows_before bigint"
     )
-
-
-def _with_slices_and_offsets(keyed: DataFrame, hot_groups: list[str]) -> DataFrame:
-    sliced = with_slices(keyed, hot_groups)
-    in_order = Window.partitionBy("natural_key_hash").orderBy("slice")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per hot group and slice, so the window over it and the broadcast are small.
-    offsets = (
-        sliced.filter(F.col("natural_key_hash").isin(hot_groups))
-        .groupBy("natural_key_hash", "slice")
-        .agg(F.count(F.lit(1)).alias("rows_in_slice"))
-        .withColumn("rows_before", F.sum("rows_in_slice").over(before))
-        .drop("rows_in_slice")
+    placed = rows.join(F.broadcast(before), "piece").withColumn("position", F.col("rows_before") + F.col("number"))
+    first = placed.groupBy("natural_key_hash").agg(F.min("position").alias("first_position"))
+    rank = F.col("position") - F.col("first_position") + 1
+    return placed.join(F.broadcast(first), "natural_key_hash").select(
+        *keyed.columns, rank.alias("duplicate_rank")
     )
-    return sliced.join(F.broadcast(offsets), ["natural_key_hash", "slice"], "left")
 
 
 def flag_duplicates(rows: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Hash, look for hot groups, rank."""
     keyed = with_natural_key(rows)
-    return rank_duplicates(keyed, find_hot_groups(keyed, hot_rows))
+    return rank_duplicates(keyed, find_hot_groups(keyed, hot_rows), rows_per_piece=hot_rows)
 
 
 def duplicate_rows(bronze: DataFrame) -> DataFrame:

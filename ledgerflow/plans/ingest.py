@@ -85,9 +85,18 @@ def merge_bronze(
         (day, max(1, math.ceil((rows_by_date.get(day, 0) + stored_rows.get(date_key(day), 0)) / ROWS_PER_FILE)))
         for day in {*rows_by_date, *left}
     ]
-    files = batch.sparkSession.createDataFrame(sizes, "event_date date, files int")
-    ranked = rank_duplicates(merged, hot, files)
+    spark = batch.sparkSession
+    files = spark.createDataFrame(sizes, "event_date date, files int")
+    folders = []
+    if hot:
+        # Hot and other rows are ranked apart; the merge is written so that it runs once.
+        folders = [scratch_path(spark, "merged"), scratch_path(spark, "hot-groups")]
+        merged.write.parquet(folders[0])
+        merged = spark.read.schema(merged.schema).parquet(folders[0])
+    ranked = rank_duplicates(merged, hot, files, hot_rows, folders[1] if hot else None)
     change.stage(BRONZE, ranked, touched, {"duplicates": F.count_if("is_duplicate")})
+    for folder in folders:
+        delete_path(spark, folder)
     return sum(rows_by_date.values()) - sum(row["matched"] for row in matches)
 
 

@@ -11,9 +11,8 @@ from ledgerflow.operators.duplicates import (
     find_hot_groups,
     flag_duplicates,
     rank_duplicates,
-    slice_points,
+    ranked_by_position,
     with_natural_key,
-    with_slices,
 )
 from ledgerflow.operators.merge import resolve_id_collisions
 from ledgerflow.operators.validate import valid_rows, validate, with_audit_columns
@@ -93,17 +92,19 @@ def test_hot_groups_are_found(spark):
     keyed = with_natural_key(skewed(spark))
     found = find_hot_groups(keyed, hot_rows=200)
     sizes = {row["natural_key_hash"]: row["count"] for row in keyed.groupBy("natural_key_hash").count().collect()}
-    assert sorted(sizes[key] for key in found) == [300, 1000]
-    assert find_hot_groups(keyed, hot_rows=5000) == []
+    assert sorted(found.values()) == [300, 1000]
+    assert all(sizes[key] == rows for key, rows in found.items())
+    assert find_hot_groups(keyed, hot_rows=5000) == {}
 
 
-def test_hot_groups_are_ranked_exactly_in_slices(spark):
+def test_hot_groups_are_ranked_exactly_in_pieces(spark, tmp_path):
     keyed = with_natural_key(skewed(spark))
     hot = find_hot_groups(keyed, hot_rows=200)
-    assert ranks(rank_duplicates(keyed, hot)) == ranks(rank_duplicates(keyed))
-    pieces = with_slices(keyed, hot).groupBy("natural_key_hash", "slice").count()
-    assert pieces.agg(F.max("count")).first()[0] < 100
-    assert slice_points(keyed, hot).count() == 2
+    assert ranks(rank_duplicates(keyed, hot, rows_per_piece=100)) == ranks(rank_duplicates(keyed))
+    rows = keyed.filter(F.col("natural_key_hash").isin(*hot))
+    assert ranked_by_position(rows, 13, str(tmp_path / "sorted")).count() == 1300
+    pieces = spark.read.parquet(str(tmp_path / "sorted")).groupBy(F.shiftright("place", 33)).count()
+    assert pieces.agg(F.max("count")).first()[0] < 200
 
 
 def test_layout_for_a_dated_write_keeps_ranks(spark, tmp_path):
