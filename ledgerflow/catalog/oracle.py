@@ -250,7 +250,7 @@ def _gold_model_checks() -> str:
 
 
 _ISO = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
-_MULTI = """SELECT account_id, transaction_date FROM completed
+_MULTI = """SELECT account_id, transaction_date, count(DISTINCT currency) AS currency_count FROM completed
 GROUP BY account_id, transaction_date HAVING count(DISTINCT currency) > 1"""
 
 
@@ -474,9 +474,9 @@ ORACLE: dict[str, str] = {
        array_to_string(errors, '; ') AS error_reason, len(errors) AS error_count FROM checked""",
     "contract_errors": f"WITH {FEED}, {_checked(contract=True)} {_errors_of('WHERE len(errors) > 0')}",
     "api_record_errors": _api_errors(),
-    "rows_valid": f"{VALID} SELECT {BUSINESS} FROM valid",
-    "rows_quarantined": f"""{QUARANTINE} SELECT * EXCLUDE (errors) FROM quarantine""",
-    "invalid_count_by_rule": f"""{QUARANTINE}
+    "valid_rows": f"{VALID} SELECT {BUSINESS} FROM valid",
+    "quarantine_rows": f"""{QUARANTINE} SELECT * EXCLUDE (errors) FROM quarantine""",
+    "invalid_by_rule": f"""{QUARANTINE}
 SELECT rule, count(*) AS failures FROM (SELECT unnest(errors) AS rule FROM quarantine) GROUP BY rule""",
     "rows_with_audit": f"{VALID} SELECT transaction_id, {AUDIT_1} FROM valid",
     "paged_source": """SELECT event_id AS id, 'TXN-' || event_id AS transaction_id,
@@ -523,7 +523,7 @@ FROM valid_2 ANTI JOIN valid_1 USING (transaction_id)""",
     "gold_daily": f"{GOLD} SELECT * FROM gold",
     "gold_from_ranked": f"{GOLD} SELECT * FROM gold",
     "gold_daily_joined": f"{GOLD} SELECT * FROM gold",
-    "category_ranking": f"{GOLD} SELECT * FROM ranking",
+    "category_totals": f"{GOLD} SELECT * FROM ranking",
     "gold_top_category": f"""{GOLD} SELECT top_category, count(*) AS account_days,
        CAST(sum(total_debit_amount) AS DECIMAL(18, 2)) AS debit_amount FROM gold GROUP BY top_category""",
     "gold_currencies": f"""{GOLD} SELECT currencies, count(*) AS account_days,
@@ -553,15 +553,17 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
         f"SELECT '{name}' AS column_name, {name} AS value, count(*) AS row_count FROM bronze GROUP BY {name}"
         for name in ("status", "currency", "transaction_type")
     ),
-    "profile_accounts": f"{BRONZE} SELECT count(DISTINCT account_id) AS account_count FROM bronze",
-    "multi_currency_account_days": f"{GOLD} {_MULTI}",
+    "profile_counts": f"""{GOLD} SELECT count(DISTINCT account_id) AS account_count,
+       count(DISTINCT duplicate_group_id) FILTER (is_duplicate) AS duplicate_group_count,
+       (SELECT count(*) FROM ({_MULTI})) AS multi_currency_account_dates FROM bronze""",
+    "multi_currency_days": f"{GOLD} {_MULTI}",
     "data_profile": _profile(),
     "batch_max_event_time": f"{VALID} SELECT {_ISO.format('max(transaction_date)')} AS watermark FROM valid",
-    "run_metrics_row": _RUN_METRICS,
+    "run_metrics": _RUN_METRICS,
     "metric_warnings": _METRIC_WARNINGS,
     "stored_bronze": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()} SELECT {_MERGED_COLUMNS} FROM bronze",
     "stored_gold": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()}, {_gold()} SELECT * FROM gold",
     "stored_control": _STORED_CONTROL,
     "whole_run": _WHOLE_RUN,
-    "csv_export": f"{BRONZE} SELECT {BUSINESS}, is_duplicate, duplicate_rank FROM bronze",
+    "csv_roundtrip_export": f"{BRONZE} SELECT {BUSINESS}, is_duplicate, duplicate_rank FROM bronze",
 }

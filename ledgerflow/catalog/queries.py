@@ -91,7 +91,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a trailing underscore keeps it apart from an operator."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -167,19 +168,19 @@ def api_record_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def rows_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def valid_rows_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_rows(_validated(spark, sf_dir))
 
 
 @query
-def rows_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quarantine_rows_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quarantine(spark, sf_dir).drop("errors", "event_date").withColumn(
         "error_count", F.col("error_count").cast("bigint")
     )
 
 
 @query
-def invalid_count_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invalid_by_rule_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invalid_by_rule(_quarantine(spark, sf_dir))
 
 
@@ -438,7 +439,7 @@ def gold_daily_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def category_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+def category_totals_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_totals(completed_canonical(_bronze(spark, sf_dir))).withColumn(
         "category_rank", F.col("category_rank").cast("bigint")
     )
@@ -549,13 +550,17 @@ def profile_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def profile_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return account_count(_bronze(spark, sf_dir))
+def profile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = _bronze(spark, sf_dir)
+    days = multi_currency_days(bronze).agg(F.count(F.lit(1)).alias("multi_currency_account_dates"))
+    groups = bronze_summary(bronze).select("duplicate_group_count")
+    return _one_row([account_count(bronze), groups, days])
 
 
 @query
-def multi_currency_account_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multi_currency_days(_bronze(spark, sf_dir)).select(*ACCOUNT_DAY)
+def multi_currency_days_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = multi_currency_days(_bronze(spark, sf_dir))
+    return days.withColumn("currency_count", F.col("currency_count").cast("bigint"))
 
 
 @query
@@ -604,7 +609,7 @@ METRIC_COLUMNS = [
 
 
 @query
-def run_metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_metrics_(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = run_metrics(_run_summary(spark, sf_dir), RUN_TIME)
     return metrics.select(*METRIC_COLUMNS).withColumn("warnings", F.array_join("warnings", ","))
 
@@ -700,7 +705,7 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_roundtrip_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze exported as ordered CSV and read back."""
     path = scratch_path(spark, "export")
     export_table(_bronze(spark, sf_dir), BRONZE, path)

@@ -53,6 +53,10 @@ def _name(code: Column, codes: dict[str, int]) -> Column:
     return reduce(lambda chain, item: chain.when(code == item[1], item[0]), codes.items(), F)
 
 
+def _bits(names: Sequence[str]) -> dict[str, int]:
+    return {name: 1 << place for place, name in enumerate(sorted(names))}
+
+
 def _from_cents(total: Column) -> Column:
     return (F.coalesce(total, F.lit(0)).cast("decimal(20,0)") / 100).cast(MONEY)
 
@@ -73,7 +77,7 @@ def summarize(
     the currencies of a day as bits, and the top category as the largest of spend followed by
     place, where a smaller name has the larger place and so wins a tie.
     """
-    bits = {name: 1 << place for place, name in enumerate(sorted(currencies))}
+    bits = _bits(currencies)
     places = {name: place for place, name in enumerate(sorted(categories, reverse=True))}
     rows = completed.withColumns(
         {
@@ -164,11 +168,11 @@ def summarize_with_join(completed: DataFrame) -> DataFrame:
     return daily_totals(completed).join(top, ACCOUNT_DAY, "left").select(*GOLD_COMPARED)
 
 
-def multi_currency_days(bronze: DataFrame) -> DataFrame:
-    """Account/days with more than one currency; smallest differs from largest, so no distinct."""
-    return (
-        completed_canonical(bronze)
-        .groupBy(*ACCOUNT_DAY)
-        .agg(F.min("currency").alias("first_currency"), F.max("currency").alias("last_currency"))
-        .filter("first_currency <> last_currency")
+def multi_currency_days(bronze: DataFrame, currencies: Sequence[str] = CURRENCIES) -> DataFrame:
+    """Account/days with more than one currency, with their number."""
+    held = completed_canonical(bronze).groupBy(*ACCOUNT_DAY).agg(
+        F.bit_or(_code("currency", _bits(currencies))).alias("currency_bits")
+    )
+    return held.select(*ACCOUNT_DAY, F.bit_count("currency_bits").alias("currency_count")).filter(
+        "currency_count > 1"
     )

@@ -35,7 +35,7 @@ from ledgerflow.schema import AUDIT_SCHEMA, BRONZE, BUSINESS_SCHEMA, CONTROL, DU
 from ledgerflow.session import delete_path, scratch_path, write_json_report
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.paged import FetchPage
-from ledgerflow.sources.select import LoadedTransactions, load_transactions
+from ledgerflow.sources.select import LoadedTransactions, land, load_transactions
 
 ROWS_PER_FILE = 2_000_000
 MODES = ("full", "incremental")
@@ -91,8 +91,7 @@ def merge_bronze(
     if hot:
         # Hot and other rows are ranked apart; the merge is written so that it runs once.
         folders = [scratch_path(spark, "merged"), scratch_path(spark, "hot-groups")]
-        merged.write.parquet(folders[0])
-        merged = spark.read.schema(merged.schema).parquet(folders[0])
+        merged = land(merged, folders[0])
     ranked = rank_duplicates(merged, hot, files, hot_rows, folders[1] if hot else None)
     change.stage(BRONZE, ranked, touched, {"duplicates": F.count_if("is_duplicate")})
     for folder in folders:
@@ -159,8 +158,7 @@ def ingest_into(
         paths = [staged_path]
         if collisions:
             paths.append(scratch_path(spark, "unique-ids"))
-            resolve_id_collisions(batch).write.parquet(paths[-1])
-            batch = spark.read.schema(batch.schema).parquet(paths[-1])
+            batch = land(resolve_id_collisions(batch), paths[-1])
             valid_dates = {
                 row["event_date"]: row["count"] for row in batch.groupBy("event_date").count().collect()
             }
@@ -183,7 +181,7 @@ def ingest_into(
             updated_at=audit["ingestion_timestamp"],
         )
         change.stage(CONTROL, advance_watermark(control, state))
-        for path in paths:
+        for path in filter(None, [*paths, loaded.landed_path]):
             delete_path(spark, path)
     table_rows = change.rows_in(BRONZE)
     return {

@@ -52,11 +52,23 @@ def as_raw_records(rows: DataFrame, extra_cells: str | None = None) -> DataFrame
     )
 
 
-def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    """Every column as text. ``multi_line`` allows line breaks inside quotes, but then a file is
-    read by one task, so large files should be cut into many or use one record per line."""
+def has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether some line holds an odd number of quotes, so that a record goes on in the next."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, *, multi_line: bool | None = None) -> DataFrame:
+    """Every column as text.
+
+    Records with line breaks inside quotes need ``multi_line``, which reads each file in one
+    task. By default the lines are looked through for them first, in parallel, and files without
+    any are split as usual. Pass False to save that pass where records are known to be lines.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV source not found: {path}")
+    if multi_line is None:
+        multi_line = has_line_breaks_in_quotes(spark, path)
     options = {
         "header": True,
         "multiLine": multi_line,
@@ -94,6 +106,6 @@ def read_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> Dat
 
 
 def load_csv_transactions(
-    spark: SparkSession, path: str, watermark: str | None = None, *, multi_line: bool = False
+    spark: SparkSession, path: str, watermark: str | None = None, *, multi_line: bool | None = None
 ) -> DataFrame:
     return rows_since(read_csv(spark, path, multi_line=multi_line), watermark)

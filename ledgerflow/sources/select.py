@@ -18,16 +18,17 @@ LOGGER = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class LoadedTransactions:
+    """``landed_path`` names the copy in the shared folder, where one was made."""
+
     rows: DataFrame
     resolved_source: str
+    landed_path: str | None = None
 
 
-def land(rows: DataFrame, purpose: str = "landing") -> DataFrame:
-    """Write rows to the shared folder and read them back: errors surface here, lineage ends here."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, purpose)
+def land(rows: DataFrame, path: str) -> DataFrame:
+    """Write rows and read them back: errors surface here, lineage ends here."""
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _may_fall_back(error: Exception) -> bool:
@@ -60,7 +61,8 @@ def load_transactions(
             page_size=settings.page_limit,
             parallelism=settings.api_parallelism,
         )
-        return LoadedTransactions(land(rows), "api")
+        path = scratch_path(spark, "landing")
+        return LoadedTransactions(land(rows, path), "api", path)
     except Exception as error:
         if not settings.allow_csv_fallback or not _may_fall_back(error):
             raise

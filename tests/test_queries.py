@@ -45,5 +45,10 @@ def test_same_rows(spark, sf_dir, tables, name):
     assert sorted_rows(result.columns, result.collect()) == sorted_rows(columns, expected.fetchall())
 
 
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert node not in plan
+
+
 def test_flagship_counts(spark):
     assert entry(spark).count() == 315

@@ -82,7 +82,9 @@ def test_lines_that_do_not_fit_the_header(spark, tmp_path):
 def test_multi_line_values(spark, tmp_path):
     path = tmp_path / "breaks.csv"
     path.write_text(",".join(FIELDS) + "\n" + ",".join({**BASE, "merchant_name": '"Corner\nShop"'}.values()) + "\n")
-    assert read_csv(spark, str(path), multi_line=True).first()["merchant_name"] == "Corner\nShop"
+    assert read_csv(spark, str(path)).first()["merchant_name"] == "Corner\nShop"
+    split = validate(read_csv(spark, str(path), multi_line=False))
+    assert split.filter("is_valid").count() == 0 and split.count() == 2  # quarantined, not lost
 
 
 # --- paged ------------------------------------------------------------------------------------
@@ -119,6 +121,23 @@ def test_request_parameters():
     assert "transaction_date" not in page_params(0, 100, None)
 
 
+class Watermarked(Pages):
+    """Applies the filter parameter as a server would."""
+
+    def __call__(self, params):
+        bound = params["transaction_date"].removeprefix("gte.")
+        rows = [record for record in self.records if record["transaction_date"] >= bound]
+        return rows[params["offset"] : params["offset"] + params["limit"]]
+
+
+def test_watermark_is_sent_to_the_source(spark):
+    pages = Watermarked(6)
+    for day, record in enumerate(pages.records, start=1):
+        record["transaction_date"] = f"2024-03-0{day}T00:00:00Z"
+    rows = read_paged(spark, pages, watermark="2024-03-04T00:00:00Z", page_size=2, parallelism=2)
+    assert ids(rows) == ["TXN-003", "TXN-004", "TXN-005"]
+
+
 def test_api_and_csv_give_the_same_row(spark, write_csv):
     api = {**BASE, "id": 1, "amount": 12.34, "transaction_date": "2024-03-30T10:00:00+00:00"}
 
