@@ -89,7 +89,8 @@ class TableStore:
             self._folder(table, key, entries[key]["run"]) for key in wanted if entries[key]["rows"]
         )
         if not folders:
-            return self.spark.createDataFrame([], spec.schema)
+            # Known to be empty when planned, so joins and unions with it fall away.
+            return self.spark.createDataFrame([], spec.schema).filter(F.lit(False))
         reader = self.spark.read.schema(spec.schema).option("basePath", f"{self.root}/{table}")
         return reader.parquet(*folders).select(*spec.schema.names)
 
