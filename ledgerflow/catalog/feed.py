@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.schema import CURRENCIES, FIELDS, MERCHANT_CATEGORIES
+from ledgerflow.session import spread_small_input
 from ledgerflow.sources.csv_files import as_raw_records
 
 COUNTRIES = ("US", "DE", "GB", "CH", "JP", "AU", "CA")
@@ -27,7 +28,7 @@ def _pick(values: tuple[str, ...], place: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet"))
     return rows.withColumnsRenamed({"event_id": "e"}).withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )

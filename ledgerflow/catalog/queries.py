@@ -80,7 +80,7 @@ from ledgerflow.sources.json_records import json_records
 from ledgerflow.sources.landing import append_records
 from ledgerflow.sources.paged import read_paged
 from ledgerflow.sources.sample import sample_summary
-from ledgerflow.sources.select import load_transactions
+from ledgerflow.sources.select import land, load_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOOKBACK_DAYS = 2
@@ -108,6 +108,15 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag_duplicates(with_audit_columns(valid_rows(_validated(spark, sf_dir)), **BATCH_1))
 
 
+def _stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze written once, for queries that read it several times."""
+    return _written(_bronze(spark, sf_dir))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    return land(rows, scratch_path(rows.sparkSession, "stage"))
+
+
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = validate(raw_feed(spark, sf_dir), _contract())
     return quarantine_rows(checked, **BATCH_1)
@@ -352,8 +361,8 @@ def dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Valid rows of the first batch and of the incremental second one."""
-    first = validate(first_batch(spark, sf_dir))
-    second = validate(_second_batch(spark, sf_dir, _control(first, BATCH_1)))
+    first = _written(validate(first_batch(spark, sf_dir)))
+    second = _written(validate(_second_batch(spark, sf_dir, _control(first, BATCH_1))))
     return (
         with_audit_columns(valid_rows(first), **BATCH_1),
         with_audit_columns(valid_rows(second), **BATCH_2),
@@ -388,9 +397,9 @@ def id_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quarantine_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantine after two batches: a row seen again is replaced, not repeated."""
-    checked = validate(first_batch(spark, sf_dir))
+    checked = _written(validate(first_batch(spark, sf_dir)))
     first = quarantine_rows(checked, **BATCH_1)
-    again = validate(_second_batch(spark, sf_dir, _control(checked, BATCH_1)))
+    again = _written(validate(_second_batch(spark, sf_dir, _control(checked, BATCH_1))))
     second = quarantine_rows(again, **BATCH_2)
     return upsert_by_key(first, second, ["quarantine_id"]).select(
         "quarantine_id", "transaction_id", "error_reason", "batch_id"
@@ -435,7 +444,7 @@ def gold_from_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_daily_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarize_with_join(completed_canonical(_bronze(spark, sf_dir)))
+    return summarize_with_join(completed_canonical(_stored_bronze(spark, sf_dir)))
 
 
 @query
@@ -471,7 +480,7 @@ def _tampered(gold: DataFrame) -> DataFrame:
 
 @query
 def dq_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging_checks(staging_view(_bronze(spark, sf_dir)))
+    return staging_checks(staging_view(_stored_bronze(spark, sf_dir)))
 
 
 @query
@@ -481,13 +490,13 @@ def dq_gold_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     return gold_assertions(daily_summary(bronze), bronze)
 
 
 @query
 def dq_gold_tampered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     return gold_assertions(_tampered(daily_summary(bronze)), bronze)
 
 
@@ -514,7 +523,7 @@ def dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tampered gold against recomputed gold: the rows that differ, with their sign."""
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     actual = _tampered(daily_summary(bronze))
     return multiset_difference(actual, daily_summary(bronze))
 
@@ -531,7 +540,7 @@ def multiset_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     quarantined = _quarantine(spark, sf_dir).agg(F.count(F.lit(1)).alias("quarantined_records"))
     gold = daily_summary(bronze).agg(F.count(F.lit(1)).alias("gold_daily_summary_rows"))
     counts = bronze_summary(bronze).drop("min_transaction_date", "max_transaction_date")
@@ -551,7 +560,7 @@ def profile_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     days = multi_currency_days(bronze).agg(F.count(F.lit(1)).alias("multi_currency_account_dates"))
     groups = bronze_summary(bronze).select("duplicate_group_count")
     return _one_row([account_count(bronze), groups, days])
@@ -565,7 +574,7 @@ def multi_currency_days_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = _bronze(spark, sf_dir)
+    bronze = _stored_bronze(spark, sf_dir)
     return build_profile(bronze, _quarantine(spark, sf_dir), daily_summary(bronze))
 
 
@@ -576,14 +585,14 @@ def batch_max_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = _validated(spark, sf_dir)
+    checked = _written(_validated(spark, sf_dir))
     counts = checked.agg(
         F.count(F.lit(1)).alias("records_read"),
         F.count_if("is_valid").alias("valid_records"),
         F.count_if(~F.col("is_valid")).alias("quarantined_records"),
         F.unix_seconds(F.max(F.when(F.col("is_valid"), F.col("transaction_date"))).cast("timestamp")).alias("latest"),
     )
-    bronze = _bronze(spark, sf_dir)
+    bronze = _written(flag_duplicates(valid_rows(checked)))
     table = bronze.agg(
         F.count_if("is_duplicate").alias("duplicate_records"),
         F.count_if(~F.col("is_duplicate")).alias("canonical_valid_records"),

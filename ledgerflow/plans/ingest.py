@@ -32,7 +32,7 @@ from ledgerflow.operators.watermark import (
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import TABLES, Change, TableStore, date_key
 from ledgerflow.schema import AUDIT_SCHEMA, BRONZE, BUSINESS_SCHEMA, CONTROL, DUPLICATES, QUARANTINE
-from ledgerflow.session import delete_path, scratch_path, write_json_report
+from ledgerflow.session import delete_path, scratch_path, spread_small_input, write_json_report
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.paged import FetchPage
 from ledgerflow.sources.select import LoadedTransactions, land, load_transactions
@@ -45,7 +45,7 @@ BATCH_COLUMNS = [*BUSINESS_SCHEMA.names, *AUDIT_SCHEMA.names, "natural_key_hash"
 
 def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> DataFrame:
     """Validate once and write the outcome; valid and invalid rows land in separate folders."""
-    validated = validate(raw, contract)
+    validated = validate(spread_small_input(raw), contract)
     is_valid = F.col("is_valid")
     rows = validated.withColumns(
         {

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -45,6 +45,16 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread_small_input(rows: DataFrame) -> DataFrame:
+    """Rows of a few input splits, such as one small file, spread over the cores.
+
+    Work per row outweighs the exchange there. Input with splits for a fair share of the cores,
+    which is any large input, is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 4 <= cores else rows
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
