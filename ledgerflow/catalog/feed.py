@@ -40,8 +40,7 @@ def _text_fields() -> dict[str, Column]:
     def defect(divisor: int, remainder: int) -> Column:
         return e % divisor == remainder
 
-    second = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").cast("string")
-    iso = F.translate(second, " ", "T")
+    iso = F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T")
     return {
         "account_id": F.when(defect(211, 1), F.concat(F.lit("ACCT"), F.col("user_id"))).otherwise(
             F.concat(F.lit("ACC-"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
@@ -128,6 +127,13 @@ class EventPages:
 
     def __init__(self, sf_dir: str) -> None:
         self.path = f"{sf_dir}/events.parquet"
+        self.held: tuple[int, Any] = (-1, None)
+
+    def _rows(self, table: pq.ParquetFile, group: int):
+        """A row group; the last one is held, since a reader's next page is mostly in it."""
+        if self.held[0] != group:
+            self.held = (group, table.read_row_group(group, ["event_id", "ts", "user_id", "value"]))
+        return self.held[1]
 
     def __call__(self, params: dict[str, Any]) -> list[dict[str, Any]]:
         start, stop = params["offset"], params["offset"] + params["limit"]
@@ -136,9 +142,8 @@ class EventPages:
         for group in range(table.num_row_groups):
             rows = table.metadata.row_group(group).num_rows
             if seen < stop and seen + rows > start:
-                part = table.read_row_group(group, ["event_id", "ts", "user_id", "value"])
                 first = max(start - seen, 0)
-                records += part.slice(first, min(stop - seen, rows) - first).to_pylist()
+                records += self._rows(table, group).slice(first, min(stop - seen, rows) - first).to_pylist()
             seen += rows
         return [_api_record(row) for row in records]
 

@@ -201,7 +201,9 @@ def rows_with_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_paged(spark, EventPages(sf_dir), page_size=2000, parallelism=4)
+    pages = read_paged(
+        spark, EventPages(sf_dir), page_size=2000, parallelism=spark.sparkContext.defaultParallelism
+    )
     return pages.select(
         F.col("id").cast("bigint").alias("id"),
         "transaction_id",

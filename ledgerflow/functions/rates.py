@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,5 +16,8 @@ def rate(numerator: Column, denominator: Column) -> Column:
 
 
 def age_hours(timestamp: Column, now: Column) -> Column:
-    seconds = F.timestamp_diff("SECOND", timestamp, now)
-    return F.round(seconds / F.lit(3600.0), 2)
+    """Hours between two zone-less timestamps, without a detour over the session zone."""
+    gap = now - timestamp
+    units = {"DAY": 86400, "HOUR": 3600, "MINUTE": 60, "SECOND": 1}
+    seconds = reduce(add, [F.extract(F.lit(unit), gap) * size for unit, size in units.items()])
+    return F.round(seconds.cast("double") / 3600, 2)

@@ -31,7 +31,7 @@ from ledgerflow.operators.watermark import (
 )
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import TABLES, Change, TableStore, date_key
-from ledgerflow.schema import AUDIT_SCHEMA, BRONZE, BUSINESS_SCHEMA, CONTROL, DUPLICATES, QUARANTINE
+from ledgerflow.schema import AUDIT_SCHEMA, BRONZE, BUSINESS_SCHEMA, CONTROL, DUPLICATES, QUARANTINE, default_contract
 from ledgerflow.session import delete_path, scratch_path, spread_small_input, write_json_report
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.paged import FetchPage
@@ -214,8 +214,9 @@ def export_bronze(change: Change, settings: Settings) -> None:
     export_table(duplicate_rows(bronze), DUPLICATES, f"{out}/duplicate_records")
 
 
-def settings_contract(spark: SparkSession, settings: Settings) -> Contract | None:
-    return load_contract(spark, settings.contract_path) if settings.contract_path else None
+def settings_contract(spark: SparkSession, settings: Settings) -> Contract:
+    """The contract the settings name, else the built-in one."""
+    return load_contract(spark, settings.contract_path) if settings.contract_path else Contract(default_contract())
 
 
 def run_ingestion(

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.plans.settings import Settings
-from ledgerflow.session import scratch_path
+from ledgerflow.session import delete_path, scratch_path
 from ledgerflow.sources.csv_files import load_csv_transactions
 from ledgerflow.sources.paged import FetchPage, HttpPages, RequestError, TransientError, read_paged
 
@@ -52,6 +52,7 @@ def load_transactions(
     """
     if settings.source == "csv":
         return LoadedTransactions(_csv(spark, settings, watermark), "csv")
+    path = scratch_path(spark, "landing")
     try:
         fetch = fetch_page or HttpPages(settings.api_base_url, settings.api_key)
         rows = read_paged(
@@ -61,9 +62,9 @@ def load_transactions(
             page_size=settings.page_limit,
             parallelism=settings.api_parallelism,
         )
-        path = scratch_path(spark, "landing")
         return LoadedTransactions(land(rows, path), "api", path)
     except Exception as error:
+        delete_path(spark, path)
         if not settings.allow_csv_fallback or not _may_fall_back(error):
             raise
         LOGGER.warning("API load failed; falling back to CSV source: %s", type(error).__name__)
