@@ -375,7 +375,8 @@ def _control_columns(checked: str) -> str:
 
 
 def _age(watermark: str) -> str:
-    return f"round(date_diff('second', {watermark}, TIMESTAMP '2024-02-01 00:00:00') / 3600.0, 2)"
+    seconds = f"date_diff('second', {watermark}, TIMESTAMP '2024-02-01 00:00:00')"
+    return f"round(CAST({seconds} AS DOUBLE) / 3600, 2)"
 
 
 def _rate(numerator: str, denominator: str) -> str:
@@ -416,6 +417,17 @@ SELECT 'transactions_ingestion' AS pipeline_name, 'csv' AS source, last_successf
        TIMESTAMP '2024-02-01 00:00:00' AS updated_at
 FROM state"""
 
+_STORED_QUARANTINE = f"""{CSV_BATCHES}, {_checked(contract=True, name="contracted")},
+seen AS (
+  SELECT *, 'batch-2' AS batch_id FROM contracted SEMI JOIN checked_2 USING (transaction_id)
+  UNION ALL SELECT *, 'batch-1' FROM contracted SEMI JOIN checked_1 USING (transaction_id)),
+identified AS (
+  SELECT *, '{{' || {_PAYLOAD} || '}}' AS raw_payload FROM seen WHERE len(errors) > 0)
+SELECT sha256(concat_ws(chr(31), raw_payload, array_to_string(errors, chr(31)))) AS quarantine_id, transaction_id,
+       raw_payload, array_to_string(errors, '; ') AS error_reason, len(errors) AS error_count, batch_id,
+       'csv' AS source, CAST(event_time AS DATE) AS event_date
+FROM identified QUALIFY row_number() OVER (PARTITION BY raw_payload ORDER BY batch_id DESC) = 1"""
+
 _WHOLE_RUN = f"""WITH {_CSV_FEED}, {_checked()}, {_valid()}, {_keyed()}, {_ranked()}, {_gold()},
 again AS (
   SELECT * FROM checked
@@ -563,6 +575,7 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
     "metric_warnings": _METRIC_WARNINGS,
     "stored_bronze": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()} SELECT {_MERGED_COLUMNS} FROM bronze",
     "stored_gold": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()}, {_gold()} SELECT * FROM gold",
+    "stored_quarantine": _STORED_QUARANTINE,
     "stored_control": _STORED_CONTROL,
     "whole_run": _WHOLE_RUN,
     "csv_roundtrip_export": f"{BRONZE} SELECT {BUSINESS}, is_duplicate, duplicate_rank FROM bronze",

@@ -686,6 +686,14 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _two_stored_batches(spark, sf_dir, transform=False).read(QUARANTINE)
+    return table.drop("errors", "ingestion_timestamp").withColumn(
+        "error_count", F.col("error_count").cast("bigint")
+    )
+
+
 @query
 def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_stored_batches(spark, sf_dir, transform=True).read(GOLD).select(*GOLD_COMPARED)

@@ -64,13 +64,16 @@ def merge_bronze(
 
     A natural key holds the timestamp, so its group never spans two dates: only touched dates are
     read, ranked and written. Where ids are stored under another date (a corrected date), that
-    date is touched too; finding them reads the id column of bronze, nothing wider.
-    Returns the number of ids not seen before.
+    date is touched too; finding them reads the id column of bronze, and of that only the row
+    groups whose ids overlap the batch's range. Returns the number of ids not seen before.
     """
     if not rows_by_date:
         return 0
-    stored = change.read(BRONZE)
-    matches = matched_dates(batch, stored, "transaction_id", "event_date").collect()
+    matches = []
+    if change.rows_in(BRONZE):
+        lowest, highest = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+        stored = change.read(BRONZE).filter(F.col("transaction_id").between(lowest, highest))
+        matches = matched_dates(batch, stored, "transaction_id", "event_date").collect()
     left = [row["stored_date"] for row in matches if row["moved"]]
     touched = {date_key(day) for day in [*rows_by_date, *left]}
     existing = change.read(BRONZE, touched).select(*BATCH_COLUMNS)
