@@ -17,7 +17,7 @@ from ledgerflow.catalog.feed import (
     padded_feed,
     raw_feed,
 )
-from ledgerflow.functions.text import format_utc, utc_date
+from ledgerflow.functions.text import format_utc
 from ledgerflow.operators.contract import Contract
 from ledgerflow.operators.duplicates import (
     canonical_rows,
@@ -27,7 +27,6 @@ from ledgerflow.operators.duplicates import (
     with_natural_key,
 )
 from ledgerflow.operators.gold import (
-    ACCOUNT_DAY,
     category_totals,
     completed_canonical,
     completed_rows,
@@ -41,10 +40,14 @@ from ledgerflow.operators.merge import resolve_id_collisions, unseen_rows, upser
 from ledgerflow.operators.metrics import run_metrics
 from ledgerflow.operators.profile import account_count, bronze_summary, build_profile, value_distribution
 from ledgerflow.operators.quality import (
+    accepted_values,
     check_equal,
+    check_rows,
+    expression_is_true,
     gold_assertions,
     gold_model_checks,
     multiset_difference,
+    not_null,
     repeated_keys,
     staging_checks,
 )
@@ -511,8 +514,6 @@ def dq_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row rules on a table that breaks some of them."""
-    from ledgerflow.operators.quality import accepted_values, check_rows, expression_is_true, not_null
-
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     rules = [
         not_null("o_orderkey"),

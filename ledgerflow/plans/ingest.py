@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import format_utc, now_utc_text, utc_date
+from ledgerflow.functions.text import now_utc_text, utc_date
 from ledgerflow.operators.contract import Contract, load_contract
 from ledgerflow.operators.duplicates import (
     HOT_GROUP_ROWS,
