@@ -86,4 +86,55 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256
 FROM joined
 """
 
-ORACLE = {"op1_mix_sources": _MIX, "op5_reply_trees": _CHATS}
+_REACH = """
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, l.b FROM reach r JOIN edges l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+"""
+
+_NEAR_TEXTS = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM worded
+), classes AS (
+  SELECT doc_id, len(s) AS n, s, min(doc_id) OVER (PARTITION BY CASE WHEN len(s) = 0 THEN [CAST(doc_id AS VARCHAR), ' ']
+           ELSE list_sort(s) END) AS rep
+  FROM shingled
+), items AS (
+  SELECT rep, n, unnest(s) AS item FROM classes WHERE doc_id = rep
+), links AS (
+  SELECT x.rep AS a, y.rep AS b FROM items x JOIN items y ON x.item = y.item AND x.rep < y.rep
+  GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), {_REACH}
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(least(low, rep), rep) AS component_id,
+       doc_id = coalesce(least(low, rep), rep) AS kept
+FROM classes LEFT JOIN lowest ON a = rep
+"""
+
+_NEAR_VECTORS = rf"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id < y.vec_id
+  WHERE len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.98
+), {_REACH}, degrees AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(least(low, vec_id), vec_id) AS component_id,
+       vec_id = coalesce(least(low, vec_id), vec_id) AS kept
+FROM embeddings LEFT JOIN lowest ON lowest.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id
+"""
+
+ORACLE = {
+    "op1_mix_sources": _MIX,
+    "op2_minhash": _NEAR_TEXTS,
+    "op5_reply_trees": _CHATS,
+    "op7_near_vectors": _NEAR_VECTORS,
+}

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import mixing, packing, pairwise_quality, quality_rules, reply_trees, sharding, toxicity
+from ledgerflow.llm import (
+    embedding_dedup,
+    minhash,
+    mixing,
+    packing,
+    pairwise_quality,
+    quality_rules,
+    reply_trees,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from ledgerflow.llm.tables import Scratch, table
 
 
@@ -22,10 +33,19 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+
+
 def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage that a document shares with an earlier one."""
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     messages = reply_trees.turns_as_messages(turns.unionByName(reply_trees.sample_turns(spark)))
@@ -56,6 +76,10 @@ def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark, "op7"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -82,9 +106,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_minhash": op2_minhash,
     "op3_pairwise_quality": op3_pairwise_quality,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_reply_trees": op5_reply_trees,
     "op6_best_two_fit": op6_best_two_fit,
+    "op7_near_vectors": op7_near_vectors,
     "op8_toxicity": op8_toxicity,
     "op9_shards": op9_shards,
     "op10_quality_rules": op10_quality_rules,
