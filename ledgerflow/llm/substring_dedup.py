@@ -115,16 +115,16 @@ def drop_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     A cut goes from a span's first word to the next word after it, so the white space left around it
     is that of the text. A document of which nothing is left keeps an empty text.
     """
-    cuts = spans.groupBy(F.col("doc_id").alias("_cut_id")).agg(
-        F.sort_array(F.collect_list(F.struct("word", "words"))).alias("_cuts")
+    cuts = spans.groupBy(F.col("doc_id").alias("cut_id")).agg(
+        F.sort_array(F.collect_list(F.struct("word", "words"))).alias("cuts")
     )
-    wide = docs.join(cuts, F.col("doc_id") == F.col("_cut_id"), "left").drop("_cut_id")
-    at = docs.columns.index("text")
+    others = [name for name in docs.columns if name != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("rest"))
+    wide = rows.join(cuts, F.col("doc_id") == F.col("cut_id"), "left").select("rest", "text", "cuts")
 
     def cut(batches):
         for part, data, offsets in text_blocks(batches):
-            lists = part.column("_cuts")
-            texts = part.column(at)
+            rest, texts, lists = part.columns
             if lists.null_count < part.num_rows:
                 starts, _, first = word_spans(data, offsets)
                 new = texts.to_pylist()
@@ -132,10 +132,10 @@ def drop_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                     if spans_of:
                         new[i] = _without(data, offsets[i], offsets[i + 1], starts[first[i] : first[i + 1]], spans_of)
                 texts = pa.array(new, texts.type)
-            columns = [texts if k == at else part.column(k) for k in range(len(docs.columns))]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            yield pa.RecordBatch.from_arrays([rest, texts], ["rest", "text"])
 
-    return wide.select(*docs.columns, "_cuts").mapInArrow(cut, docs.schema)
+    done = wide.mapInArrow(cut, wide.drop("cuts").schema)
+    return done.select(*(F.col("text") if name == "text" else F.col("rest")[name].alias(name) for name in docs.columns))
 
 
 def _without(data: np.ndarray, begin: int, end: int, starts: np.ndarray, spans: list[dict]) -> str:
