@@ -149,9 +149,15 @@ def _possible(pairs: DataFrame, reps: DataFrame, p: MinHash) -> DataFrame:
     return sized.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, p: MinHash) -> DataFrame:
-    """The pairs (a, b) that are similar enough by their full sets."""
+def _confirmed(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, many: bool, p: MinHash) -> DataFrame:
+    """The pairs (a, b) that are similar enough by their full sets.
+
+    `many` says that the pairs name a share of all documents, which grows with them: those ids are
+    joined by a shuffle at any size. The later rounds' few ids are left to Spark's size check.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    if many:
+        wanted = wanted.hint("merge")
 
     def measure(data, offsets):
         hashes, first = shingle_sets(data, offsets, p.width)
@@ -203,7 +209,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
             break
         tested = pairs if tested is None else tested.union(pairs)
         near = scratch.put(f"near-{step}", _possible(pairs, reps, p))
-        found = scratch.put(f"links-{step}", _confirmed(near, docs, scratch, str(step), p))
+        found = scratch.put(f"links-{step}", _confirmed(near, docs, scratch, str(step), step == 0, p))
         scratch.drop(f"sets-{step}")
         if found.isEmpty():
             quiet += 1
