@@ -55,7 +55,7 @@ def shuffle_records(docs: DataFrame, scratch: Scratch, p: Shuffle = Shuffle()) -
     return scratch.put("buckets", placed.groupBy("bucket").applyInArrow(fisher_yates, schema))
 
 
-def assign_shards(records: DataFrame, shards: int) -> DataFrame:
+def assign_shards(records: DataFrame, scratch: Scratch, shards: int) -> DataFrame:
     """The records with shard, and slot within it: gapless, and counts at most one apart."""
     counts = records.groupBy("bucket").agg(F.count("*").alias("n"))  # one row per bucket
     ordered = Window.orderBy("bucket")
@@ -64,6 +64,8 @@ def assign_shards(records: DataFrame, shards: int) -> DataFrame:
         (F.sum("n").over(ordered) - F.col("n")).alias("start"),
         F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n_all"),
     )
+    # Stored, its size is known before the join is planned, so the records aren't shuffled in vain.
+    starts = scratch.put("starts", starts)
     at = records.join(starts, F.col("bucket") == F.col("b")).withColumn("at", F.col("start") + F.col("place"))
     at = at.withColumn("shard", F.expr(f"int(at * {shards} div n_all)"))
     slot = F.expr(f"at - (shard * n_all + {shards - 1}) div {shards}")
@@ -72,7 +74,7 @@ def assign_shards(records: DataFrame, shards: int) -> DataFrame:
 
 def shard_records(docs: DataFrame, scratch: Scratch, p: Shuffle = Shuffle()) -> DataFrame:
     """All columns of the records, with shard and slot; columns of those names are replaced."""
-    return assign_shards(shuffle_records(docs.drop("shard", "slot"), scratch, p), p.shards)
+    return assign_shards(shuffle_records(docs.drop("shard", "slot"), scratch, p), scratch, p.shards)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
