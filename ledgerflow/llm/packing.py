@@ -40,12 +40,12 @@ class Packing:
     second_pool_tokens: int = 16 << 20
     #: A bin with at least so much room is packed again.
     open_room: int = 16
-    #: Words whose ids a task remembers.
-    cached_words: int = 400_000
+    #: Words whose ids a worker remembers, at about 40 bytes each.
+    cached_words: int = 1_500_000
 
 
 class WordTokenizer:
-    """Ids of whole texts; every distinct word is tokenized once and remembered while there is room."""
+    """Ids of whole texts; a distinct word is tokenized once, and forgotten only when too many are known."""
 
     def __init__(self, path: str, cached_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,15 +61,14 @@ class WordTokenizer:
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every)
-        self.hashes = every[order]
-        self.starts = np.concatenate([self.starts, starts])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        at = np.searchsorted(self.hashes, hashes)  # both in order
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.starts = np.insert(self.starts, at, starts)
+        self.sizes = np.insert(self.sizes, at, sizes)
         self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +93,17 @@ class WordTokenizer:
         return self.ids[take], total[first]
 
 
+_TOKENIZERS: dict[tuple[str, int], WordTokenizer] = {}
+
+
+def worker_tokenizer(path: str, cached_words: int) -> WordTokenizer:
+    """The tokenizer of this process; a worker's next task finds the words of its last one."""
+    key = (path, cached_words)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = WordTokenizer(path, cached_words)
+    return _TOKENIZERS[key]
+
+
 def cut_points(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, number and size of each piece, of documents with so many ids and an end mark."""
     sizes = np.diff(first) + 1
@@ -187,7 +197,7 @@ def pack(docs: DataFrame, scratch: Scratch, p: Packing) -> DataFrame:
     def first_level(batches):
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(p.tokenizer, p.cached_words)
+        tokenizer = worker_tokenizer(p.tokenizer, p.cached_words)
         base = TaskContext.get().partitionId() << 36
         pool: list[pa.Table] = []
         tokens = 0
