@@ -261,7 +261,11 @@ def _star_pairs(buckets: DataFrame, labels: DataFrame | None, links: DataFrame |
 
 def drop_near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -> DataFrame:
     """The rows of `docs` without all but one document of each group; of repeated rows one stays."""
-    found = scratch.put("found", near_duplicates(docs, scratch, p))
+    inner = Scratch(docs.sparkSession, "near-duplicates")
+    try:
+        found = scratch.put("found", near_duplicates(docs, inner, p))
+    finally:
+        inner.drop()
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     repeated = scratch.put("repeated", repeated)

@@ -120,7 +120,8 @@ def drop_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     )
     others = [name for name in docs.columns if name != "text"]
     rows = docs.select("doc_id", "text", F.struct(*others).alias("rest"))
-    wide = rows.join(cuts, F.col("doc_id") == F.col("cut_id"), "left").select("rest", "text", "cuts")
+    # Documents with cuts are a share of all of them: joined by a shuffle at any size.
+    wide = rows.join(cuts.hint("merge"), F.col("doc_id") == F.col("cut_id"), "left").select("rest", "text", "cuts")
 
     def cut(batches):
         for part, data, offsets in text_blocks(batches):
