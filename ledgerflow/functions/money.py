@@ -41,7 +41,14 @@ def parse_amount(raw: Column) -> Amount:
     """
     text = strip_text(raw)
     wide = text.try_cast("decimal(38,18)")
-    long_tail = ~text.rlike("[eE]") & text.rlike(r"\.[0-9]{2}[0-9]*[1-9]")
+    # Digits after the point up to the last that isn't zero, less the exponent: beyond two, not whole cents.
+    digits = F.regexp_extract(text, r"\A[+-]?([0-9]*\.?[0-9]*)", 1)
+    significant = F.rtrim(digits, F.lit("0"))
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)\z", 1).try_cast("int"), F.lit(0))
+    places = F.when(digits.contains("."), F.length(F.substring_index(significant, ".", -1))).otherwise(
+        F.length(significant) - F.length(digits)
+    )
+    long_tail = places - exponent > 2
     return Amount(
         raw=raw,
         text=text,

@@ -113,13 +113,17 @@ class TableStore:
             raise CommitConflict(f"snapshot {version} is already published")
 
     def drop_unreferenced_runs(self) -> list[str]:
-        """Delete run folders the current snapshot does not name, once no reader needs them."""
-        snapshot = self.snapshot()
+        """Delete run folders the current snapshot does not name, once no reader needs them.
+
+        Runs numbered above it belong to changes that are still open and stay.
+        """
+        version = self.version()
+        snapshot = self.snapshot(version)
         dropped = []
         for table, dates in snapshot.items():
             live = {f"run={entry['run']}" for entry in dates.values()}
             for name in list_names(self.spark, f"{self.root}/{table}"):
-                if name.startswith("run=") and name not in live:
+                if name.startswith("run=") and name not in live and int(name[4:13]) <= version:
                     delete_path(self.spark, f"{self.root}/{table}/{name}")
                     dropped.append(f"{table}/{name}")
         return dropped

@@ -13,7 +13,8 @@ from ledgerflow.session import path_exists
 
 MALFORMED = "_malformed_line"
 EXTRA_CELLS = "extra_cells"
-QUOTED_CELL = r'"([^"]|"")*"'
+# Possessive and without alternation: Java's matcher would recurse once per character otherwise.
+QUOTED_CELL = r'"[^"]*+(?:""[^"]*+)*+"'
 
 
 def normalized_names(columns: list[str]) -> list[str]:

@@ -18,7 +18,7 @@ EXPORT_COLUMNS = {
 def export_table(table: DataFrame, name: str, path: str) -> None:
     """CSV part files whose concatenation is ordered by the first two columns."""
     if name not in EXPORT_COLUMNS:
-        raise ValueError(f"Unsupported export table: {name}")
+        raise ValueError(f"no export is defined for {name!r}")
     columns = [column for column in EXPORT_COLUMNS[name] if column in table.columns]
     ordered = table.select(*columns).orderBy(*columns[:2])
     ordered.write.mode("overwrite").options(

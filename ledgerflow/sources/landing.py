@@ -17,7 +17,7 @@ class RejectedBatch(ValueError):
 
 
 def append_records(raw: DataFrame, path: str, contract: Contract | None = None) -> int:
-    """Validate every record, then append the text values in the column order of the target."""
+    """Validate every record, then append the text values under the target's own header; its other cells stay empty."""
     spark = raw.sparkSession
     checked = validate(raw, contract)
     counts = checked.agg(F.count(F.lit(1)).alias("read"), F.count_if(~F.col("is_valid")).alias("bad")).first()
@@ -27,11 +27,16 @@ def append_records(raw: DataFrame, path: str, contract: Contract | None = None)
             f"{counts['bad']} of {counts['read']} records are invalid, such as "
             f"{example['transaction_id']}: {'; '.join(example['errors'])}"
         )
-    order = list(FIELDS)
+    cells = [F.col(name) for name in FIELDS]
     if path_exists(spark, path):
         header = spark.read.option("header", True).csv(path).columns
-        order = [name for name in normalized_names(header) if name in FIELDS] or order
-    raw.select(*order).write.mode("append").option("header", True).option("escape", '"').option(
+        names = normalized_names(header)
+        lacking = sorted(set(FIELDS) - set(names))
+        if lacking:
+            raise ValueError(f"the landing folder has no column for {', '.join(lacking)}")
+        empty = F.lit(None).cast("string")
+        cells = [(F.col(new) if new in FIELDS else empty).alias(old) for old, new in zip(header, names)]
+    raw.select(*cells).write.mode("append").option("header", True).option("escape", '"').option(
         "emptyValue", ""
     ).csv(path)
     return counts["read"]

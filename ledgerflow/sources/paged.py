@@ -85,9 +85,22 @@ class PagedReader(DataSourceReader):
                 texts = [json.dumps(record, sort_keys=True, ensure_ascii=False) for record in records]
                 yield pa.RecordBatch.from_pydict({"raw_payload": pa.array(texts, pa.string())})
             if len(records) < self.page_size:
+                self._require_end(page, len(records))
                 return
             page += self.parallelism
 
+    def _require_end(self, page: int, count: int) -> None:
+        """A short page ends an unlimited scan only if nothing follows it; a server may cap its pages."""
+        if not count or self.max_pages is not None:
+            return
+        params = dict(page_params(page, self.page_size, self.watermark))
+        params["offset"] = type(params["offset"])(int(params["offset"]) + count)
+        if self.fetch_page(params):
+            raise ValueError(
+                f"the source sent {count} records where {self.page_size} were asked for, and has more; "
+                "set page_size to what it sends"
+            )
+
 
 def read_paged(
     spark: SparkSession,

@@ -67,7 +67,7 @@ def load_transactions(
         delete_path(spark, path)
         if not settings.allow_csv_fallback or not _may_fall_back(error):
             raise
-        LOGGER.warning("API load failed; falling back to CSV source: %s", type(error).__name__)
+        LOGGER.warning("the paged source gave no data (%s); reading the CSV files instead", type(error).__name__)
         return LoadedTransactions(_csv(spark, settings, watermark), "csv_fallback")
 
 

@@ -7,7 +7,9 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerflow.catalog.oracle import ORACLE
+from ledgerflow.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -33,13 +35,13 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, sf_dir, tables, name):
-    result = queries()[name](spark, sf_dir)
-    expected = tables.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, sf_dir)
+    expected = tables.execute(ORACLE[name])
     columns = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(columns)
     assert sorted_rows(result.columns, result.collect()) == sorted_rows(columns, expected.fetchall())

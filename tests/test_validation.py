@@ -67,6 +67,8 @@ def test_single_rules(make_raw, change, expected):
         ("1e-3", "amount must be a multiple of 0.01"),
         ("1e-30", "amount must be a multiple of 0.01"),
         ("12.3400000000000000000001", "amount must be a multiple of 0.01"),
+        ("1.0000000000000000000001e1", "amount must be a multiple of 0.01"),
+        ("1.00000000000000000001E0", "amount must be a multiple of 0.01"),
         ("10000000000000000", "amount out of range"),
         ("99999999999999999", "amount out of range"),
         ("1e40", "amount out of range"),
