@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.tables import Scratch
-from ledgerflow.llm.words import span_hashes, text_blocks, word_spans
+from ledgerflow.llm.words import give_back, span_hashes, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -232,6 +232,7 @@ def pack(docs: DataFrame, scratch: Scratch, p: Packing) -> DataFrame:
                 yield from close()
         if pool:
             yield from close()
+        give_back()
 
     packed = docs.select("doc_id", "text").mapInArrow(first_level, f"{PLACED}, room long")
     packed = scratch.put("first", packed)

@@ -6,6 +6,7 @@ UTF-8, so words can be found without decoding. Hashes are 64 bit and depend on c
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -109,6 +110,14 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     return starts, mix(total)
 
 
+def give_back() -> None:
+    """Return to the system what a task has freed; a worker lives on after it and would keep that memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and each text's first byte; a null text has no bytes."""
     if column.null_count:
@@ -134,3 +143,5 @@ def text_blocks(
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
+        del batch, data, offsets  # before the next one arrives
+    give_back()
