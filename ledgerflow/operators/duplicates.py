@@ -16,7 +16,7 @@ from ledgerflow.session import scratch_path
 
 # A group up to this size is ranked by one task; a larger one is spread over several.
 HOT_GROUP_ROWS = 1_000_000
-# The largest groups only: a group beyond these holds less than a thousandth of all rows.
+# The largest groups only; those beyond them stay in the window, exact but one task each.
 HOT_GROUPS = 1024
 HOT_GROUPS_PER_DATE = 64
 SKETCH_ITEMS = 1024
@@ -45,7 +45,7 @@ def find_hot_groups(keyed: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> dict[st
 
     A sketch costs no shuffle of the keys: each task sends one of bounded size per date, and they
     are merged in two steps. Sketches only decide how work is spread. Ranks are exact whichever
-    groups they report. A group that goes unreported holds under a percent of its date's rows.
+    groups they report. At most HOT_GROUPS_PER_DATE of a date are reported; others aren't split.
     """
     lane = F.spark_partition_id() % 64
     partial = (

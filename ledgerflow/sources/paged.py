@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 import urllib.error
@@ -159,7 +160,10 @@ class HttpPages:
                 continue
             if status >= 400:
                 raise RequestError(f"request rejected with HTTP {status}")
-            records = json.loads(body)
+            try:
+                records = json.loads(body)
+            except json.JSONDecodeError as exc:
+                raise RequestError("the source answered with something else than JSON") from exc
             if not isinstance(records, list):
                 raise ValueError("a page must be a JSON array")
             return records
@@ -177,3 +181,5 @@ def _send(url: str, headers: dict[str, str], timeout: int) -> tuple[int, str]:
         if isinstance(exc.reason, TimeoutError):
             raise exc.reason from exc
         raise RequestError(f"request failed: {exc.reason}") from exc
+    except (http.client.HTTPException, ConnectionError, UnicodeDecodeError) as exc:
+        raise RequestError(f"the answer broke off or can't be read: {type(exc).__name__}") from exc

@@ -267,3 +267,9 @@ def test_landing_append_is_all_or_nothing(spark, make_raw, write_csv, tmp_path):
     landed = read_csv(spark, path)
     assert ids(landed) == ["TXN-A", "TXN-B"]
     assert sorted(row["merchant_name"] for row in landed.collect()) == ['A "b", c', "Corner Shop"]
+
+
+def test_a_body_that_is_no_json_is_a_failed_request():
+    pages = HttpPages("http://source", send=lambda url, headers, timeout: (200, '[{"id": 1'))
+    with pytest.raises(RequestError):
+        pages(page_params(0, 5, None))
