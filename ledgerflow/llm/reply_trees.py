@@ -83,10 +83,11 @@ def choose_paths(messages: DataFrame, scratch: Scratch, branches: int = 1) -> Da
         high = low.select(
             F.col("tree_id").alias("t"), F.col("message_id").alias("m"), F.col("up").alias("up2"), F.col("total").alias("add")
         )
-        joined = low.join(high, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("m")), "left")
+        moving, done = low.where("up IS NOT NULL"), low.where("up IS NULL")  # only the former are joined
+        joined = moving.join(high, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("m")), "left")
         total = F.col("total") + F.coalesce("add", F.lit(0.0))
         step = joined.select("tree_id", "message_id", F.col("up2").alias("up"), total.alias("total"))
-        jumps.append(scratch.put(f"jump-{len(jumps)}", step))
+        jumps.append(scratch.put(f"jump-{len(jumps)}", step.unionByName(done)))
 
     parents = nodes.where("parent_id IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("parent_id").alias("m"))
     rooted = jumps[-1].where("up IS NULL")  # what is still on its way after so many rounds circles
