@@ -23,7 +23,9 @@ from ledgerflow.operators.duplicates import (
     canonical_rows,
     duplicate_groups,
     duplicate_rows,
+    find_hot_groups,
     flag_duplicates,
+    rank_duplicates,
     with_natural_key,
 )
 from ledgerflow.operators.gold import (
@@ -348,7 +350,10 @@ def dup_ranked_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
             "country_code": F.lit("SE"),
         }
     )
-    return flag_duplicates(fixed.select(*FIELDS), hot_rows=1000).select("transaction_id", "duplicate_rank", "is_duplicate")
+    keyed = _written(with_natural_key(fixed.select(*FIELDS)))
+    hot = _written(find_hot_groups(keyed, keyed.count(), hot_rows=1000))
+    ranked = rank_duplicates(keyed, hot, rows_per_piece=1000)
+    return ranked.select("transaction_id", "duplicate_rank", "is_duplicate")
 
 
 @query

@@ -16,10 +16,9 @@ from ledgerflow.session import scratch_path
 
 # A group up to this size is ranked by one task; a larger one is spread over several.
 HOT_GROUP_ROWS = 1_000_000
-# The largest groups only; those beyond them stay in the window, exact but one task each.
-HOT_GROUPS = 1024
-HOT_GROUPS_PER_DATE = 64
-SKETCH_ITEMS = 1024
+# Sizes of a heavy-hitter sketch; Spark holds no larger one.
+LEAST_SKETCH_ITEMS = 1024
+MOST_SKETCH_ITEMS = 1_000_000
 # monotonically_increasing_id: the partition above these bits, the row number below.
 ROW_BITS = 33
 
@@ -40,47 +39,56 @@ def with_natural_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("natural_key_hash", natural_key_hash())
 
 
-def find_hot_groups(keyed: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> dict[str, int]:
-    """Groups too large for one task and their estimated rows, by heavy-hitter sketches.
+def find_hot_groups(keyed: DataFrame, rows_of_date: int, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """``natural_key_hash`` and ``rows`` of every group of more than ``hot_rows`` rows.
 
-    A sketch costs no shuffle of the keys: each task sends one of bounded size per date, and they
-    are merged in two steps. Sketches only decide how work is spread. Ranks are exact whichever
-    groups they report. At most HOT_GROUPS_PER_DATE of a date are reported; others aren't split.
+    Heavy-hitter sketches cost no shuffle of the keys: each task sends one of bounded size per date,
+    and they are merged in two steps. ``rows_of_date``, the most rows a date has, sets their size: a
+    sketch of n items reports every group above 5.25 / n of its rows (n items fill at most three
+    quarters of its table, and its error is 3.5 rows in the table's size), so none above ``hot_rows``
+    is missed. ``rows`` is an estimate that is never too small. Groups are few: at most one per
+    ``hot_rows`` rows. A date too large for Spark's largest sketch has its groups counted.
     """
+    items = max(LEAST_SKETCH_ITEMS, 6 * math.ceil(rows_of_date / hot_rows))
+    if items > MOST_SKETCH_ITEMS:
+        counted = keyed.groupBy("natural_key_hash").agg(F.count(F.lit(1)).alias("rows"))
+        return counted.filter(F.col("rows") > hot_rows)
     lane = F.spark_partition_id() % 64
     partial = (
         keyed.select(utc_date(F.col("transaction_date")).alias("event_date"), "natural_key_hash")
         .groupBy("event_date", lane.alias("lane"))
-        .agg(F.expr(f"approx_top_k_accumulate(natural_key_hash, {SKETCH_ITEMS})").alias("sketch"))
+        .agg(F.expr(f"approx_top_k_accumulate(natural_key_hash, {items})").alias("sketch"))
     )
-    merged = partial.groupBy("event_date").agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
-    )
-    heavy = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_GROUPS_PER_DATE}))"))
-    largest = heavy.filter(F.col("count") > hot_rows).orderBy(F.desc("count"), "item").limit(HOT_GROUPS)
-    return {row["item"]: row["count"] for row in largest.collect()}
+    merged = partial.groupBy("event_date").agg(F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"))
+    heavy = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {items}))"))
+    found = heavy.select(F.col("item").alias("natural_key_hash"), F.col("count").alias("rows"))
+    return found.filter(F.col("rows") > hot_rows)
 
 
 def rank_duplicates(
     keyed: DataFrame,
-    hot_groups: dict[str, int] | None = None,
+    hot_groups: DataFrame | None = None,
     files_per_date: DataFrame | None = None,
     rows_per_piece: int = HOT_GROUP_ROWS,
     scratch: str | None = None,
 ) -> DataFrame:
     """Rank the rows of each natural key by (transaction_date, transaction_id); rank 1 is canonical.
 
-    Most groups are ranked by one window. ``hot_groups`` (from :func:`find_hot_groups`) are ranked
-    by position instead, see :func:`ranked_by_position`.
+    Most groups are ranked by one window. ``hot_groups`` (from :func:`find_hot_groups`, stored, as
+    they are read several times) are ranked by position instead, see :func:`ranked_by_position`.
+    They are broadcast: at most one per ``rows_per_piece`` rows of the table.
 
     ``files_per_date`` (``event_date``, ``files``) asks for rows laid out for a write partitioned
     by ``event_date``: the one shuffle then serves the ranking and the file layout.
     """
-    if hot_groups:
-        is_hot = F.col("natural_key_hash").isin(*hot_groups)
-        pieces = math.ceil(sum(hot_groups.values()) / rows_per_piece) + 1
-        hot = ranked_by_position(keyed.filter(is_hot), pieces, scratch)
-        ranked = _ranked_by_window(keyed.filter(~is_hot), files_per_date).unionByName(hot)
+    hot_total = None if hot_groups is None else hot_groups.agg(F.sum("rows")).first()[0]
+    if hot_total:
+        listed = F.broadcast(hot_groups.select("natural_key_hash"))
+        hot, others = (
+            keyed.join(listed, "natural_key_hash", how).select(*keyed.columns) for how in ("left_semi", "left_anti")
+        )
+        hot = ranked_by_position(hot, math.ceil(hot_total / rows_per_piece) + 1, scratch)
+        ranked = _ranked_by_window(others, files_per_date).unionByName(hot)
     else:
         ranked = _ranked_by_window(keyed, files_per_date)
     return ranked.withColumns(
@@ -134,10 +142,13 @@ def ranked_by_position(keyed: DataFrame, pieces: int, scratch: str | None = None
     )
 
 
-def flag_duplicates(rows: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Hash, look for hot groups, rank."""
-    keyed = with_natural_key(rows)
-    return rank_duplicates(keyed, find_hot_groups(keyed, hot_rows), rows_per_piece=hot_rows)
+def flag_duplicates(rows: DataFrame) -> DataFrame:
+    """Hash and rank by one window, as a plan that runs nothing yet.
+
+    For rows that may hold a group too large for one task, store the keyed rows, find the hot groups
+    and give both to :func:`rank_duplicates`, as an ingestion does.
+    """
+    return rank_duplicates(with_natural_key(rows))
 
 
 def duplicate_rows(bronze: DataFrame) -> DataFrame:

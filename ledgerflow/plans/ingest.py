@@ -79,26 +79,28 @@ def merge_bronze(
     existing = change.read(BRONZE, touched).select(*BATCH_COLUMNS)
     merged = upsert_by_key(existing, batch.select(*BATCH_COLUMNS), ["transaction_id"])
 
-    # Both inputs unmerged: slightly more rows than the result, but no join to look for hot keys.
-    keys = ["transaction_date", "natural_key_hash"]
-    hot = find_hot_groups(existing.select(*keys).unionAll(batch.select(*keys)), hot_rows)
-
     stored_rows = {key: entry["rows"] for key, entry in change.pending[BRONZE].items()}
-    sizes = [
-        (day, max(1, math.ceil((rows_by_date.get(day, 0) + stored_rows.get(date_key(day), 0)) / ROWS_PER_FILE)))
-        for day in {*rows_by_date, *left}
-    ]
+    rows_of = {day: rows_by_date.get(day, 0) + stored_rows.get(date_key(day), 0) for day in {*rows_by_date, *left}}
+    sizes = [(day, max(1, math.ceil(rows / ROWS_PER_FILE))) for day, rows in rows_of.items()]
     spark = batch.sparkSession
     files = spark.createDataFrame(sizes, "event_date date, files int")
-    folders = []
-    if hot:
-        # Hot and other rows are ranked apart; the merge is written so that it runs once.
-        folders = [scratch_path(spark, "merged"), scratch_path(spark, "hot-groups")]
-        merged = land(merged, folders[0])
-    ranked = rank_duplicates(merged, hot, files, hot_rows, folders[1] if hot else None)
-    change.stage(BRONZE, ranked, touched, {"duplicates": F.count_if("is_duplicate")})
-    for folder in folders:
-        delete_path(spark, folder)
+    folders = [scratch_path(spark, name) for name in ("hot-list", "merged", "hot-groups")]
+    try:
+        hot = None
+        if max(rows_of.values()) > hot_rows:  # else no group can be larger
+            # Both inputs unmerged: slightly more rows than the result, but no join to look for hot keys.
+            keys = ["transaction_date", "natural_key_hash"]
+            both = existing.select(*keys).unionAll(batch.select(*keys))
+            hot = land(find_hot_groups(both, max(rows_of.values()), hot_rows), folders[0])
+            if hot.isEmpty():
+                hot = None
+            else:  # hot and other rows are ranked apart; the merge is written so that it runs once
+                merged = land(merged, folders[1])
+        ranked = rank_duplicates(merged, hot, files, hot_rows, folders[2])
+        change.stage(BRONZE, ranked, touched, {"duplicates": F.count_if("is_duplicate")})
+    finally:
+        for folder in folders:
+            delete_path(spark, folder)
     return sum(rows_by_date.values()) - sum(row["matched"] for row in matches)
 
 

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow.operators import duplicates
 from ledgerflow.operators.duplicates import (
     canonical_rows,
     duplicate_groups,
@@ -90,18 +91,46 @@ def skewed(spark):
 
 def test_hot_groups_are_found(spark):
     keyed = with_natural_key(skewed(spark))
-    found = find_hot_groups(keyed, hot_rows=200)
+    found = dict(find_hot_groups(keyed, 3000, hot_rows=200).collect())
     sizes = {row["natural_key_hash"]: row["count"] for row in keyed.groupBy("natural_key_hash").count().collect()}
     assert sorted(found.values()) == [300, 1000]
     assert all(sizes[key] == rows for key, rows in found.items())
-    assert find_hot_groups(keyed, hot_rows=5000) == {}
+    assert find_hot_groups(keyed, 3000, hot_rows=5000).isEmpty()
+
+
+@pytest.mark.parametrize("most_items", [1_000_000, 2_000])
+def test_every_hot_group_is_found_and_split_however_many(spark, monkeypatch, tmp_path, most_items):
+    """1,500 equal groups above the limit on one date among single rows, by sketches and by counting."""
+    monkeypatch.setattr(duplicates, "MOST_SKETCH_ITEMS", most_items)
+    number = F.col("id")
+    key = F.when(number < 6000, F.md5((number % 1500).cast("string"))).otherwise(F.sha2(number.cast("string"), 256))
+    day = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
+    rows = spark.range(9000, numPartitions=5).select(
+        F.concat(F.lit("TXN-"), number).alias("transaction_id"), day.alias("transaction_date"), key.alias("natural_key_hash")
+    )
+    rows.write.parquet(str(tmp_path / "keyed"))
+    keyed = spark.read.parquet(str(tmp_path / "keyed"))
+    find_hot_groups(keyed, 9000, hot_rows=3).write.parquet(str(tmp_path / "hot"))
+    hot = spark.read.parquet(str(tmp_path / "hot"))
+    assert hot.count() == 1500 and hot.agg(F.min("rows")).first()[0] >= 4
+    ranked = rank_duplicates(keyed, hot, rows_per_piece=600, scratch=str(tmp_path / "sorted"))
+    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 6000
+    assert ranks(ranked) == ranks(rank_duplicates(keyed))
+
+
+def test_flagging_runs_nothing_before_an_action(spark):
+    rows = skewed(spark)
+    spark.sparkContext.setJobGroup("flagging", "")
+    flag_duplicates(rows)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("flagging")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_groups_are_ranked_exactly_in_pieces(spark, tmp_path):
     keyed = with_natural_key(skewed(spark))
-    hot = find_hot_groups(keyed, hot_rows=200)
+    hot = find_hot_groups(keyed, 3000, hot_rows=200)
     assert ranks(rank_duplicates(keyed, hot, rows_per_piece=100)) == ranks(rank_duplicates(keyed))
-    rows = keyed.filter(F.col("natural_key_hash").isin(*hot))
+    rows = keyed.join(hot, "natural_key_hash", "left_semi")
     assert ranked_by_position(rows, 13, str(tmp_path / "sorted")).count() == 1300
     pieces = spark.read.parquet(str(tmp_path / "sorted")).groupBy(F.shiftright("place", 33)).count()
     assert pieces.agg(F.max("count")).first()[0] < 200
@@ -111,7 +140,7 @@ def test_layout_for_a_dated_write_keeps_ranks(spark, tmp_path):
     dated = with_natural_key(skewed(spark)).withColumn("event_date", F.col("transaction_date").cast("date"))
     dated.write.parquet(str(tmp_path / "keyed"))
     keyed = spark.read.parquet(str(tmp_path / "keyed"))
-    hot = find_hot_groups(keyed, hot_rows=200)
+    hot = find_hot_groups(keyed, 3000, hot_rows=200)
     files = spark.createDataFrame(keyed.select("event_date", F.lit(7)).distinct().collect(), "event_date date, files int")
     laid_out = rank_duplicates(keyed, hot, files)
     assert ranks(laid_out) == ranks(rank_duplicates(keyed))
