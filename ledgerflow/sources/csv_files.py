@@ -53,41 +53,48 @@ def as_raw_records(rows: DataFrame, extra_cells: str | None = None) -> DataFrame
     )
 
 
-def has_line_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether some line holds an odd number of quotes, so that a record goes on in the next."""
+def files_with_line_breaks(spark: SparkSession, path: str) -> list[str]:
+    """Files with a line of an odd number of quotes, where a record may go on in the next line."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    odd = spark.read.text(path).filter(quotes % 2 == 1).select("_metadata.file_path").distinct()
+    return sorted(row["file_path"] for row in odd.collect())
 
 
 def read_csv(spark: SparkSession, path: str, *, multi_line: bool | None = None) -> DataFrame:
     """Every column as text.
 
-    Records with line breaks inside quotes need ``multi_line``, which reads each file in one
-    task. By default the lines are looked through for them first, in parallel, and files without
-    any are split as usual. Pass False to save that pass where records are known to be lines.
+    Records with line breaks inside quotes need ``multi_line``, which reads a file in one task. By
+    default the lines are looked through for them first, in parallel; only files that have any are
+    read so, all others are split as usual. Pass False to save that pass where records are known to
+    be lines, True to read all files in one task each.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV source not found: {path}")
-    if multi_line is None:
-        multi_line = has_line_breaks_in_quotes(spark, path)
+    broken = files_with_line_breaks(spark, path) if multi_line is None else []
     options = {
         "header": True,
-        "multiLine": multi_line,
         "escape": '"',
         "emptyValue": "",
         "encoding": "UTF-8",
     }
-    header = spark.read.options(**options).csv(path).columns
+    header = spark.read.options(**options, multiLine=bool(multi_line or broken)).csv(path).columns
     fields = [T.StructField(name, T.StringType()) for name in (*header, MALFORMED)]
-    lines = (
-        spark.read.options(**options)
-        .schema(T.StructType(fields))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("enforceSchema", False)
-        .option("columnPruning", False)  # with it, a line is not compared with the whole header
-        .csv(path)
-    )
+
+    def scan(multi_line: bool) -> DataFrame:
+        return (
+            spark.read.options(**options, multiLine=multi_line)
+            .schema(T.StructType(fields))
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("enforceSchema", False)
+            .option("columnPruning", False)  # with it, a line is not compared with the whole header
+            .csv(path)
+        )
+
+    lines = scan(bool(multi_line))
+    if broken:  # the conditions on the file choose the files to read, before anything is read
+        is_broken = F.col("_metadata.file_path").isin(broken)
+        lines = lines.filter(~is_broken).unionAll(scan(True).filter(is_broken))
     # The reader gives NULL for an empty cell and for a missing one. Only lines that do not fit
     # the header can miss cells, and there the cells are counted.
     cells = F.size(F.split(F.regexp_replace(MALFORMED, QUOTED_CELL, ""), ",", -1))

@@ -87,6 +87,28 @@ def test_multi_line_values(spark, tmp_path):
     assert split.filter("is_valid").count() == 0 and split.count() == 2  # quarantined, not lost
 
 
+def test_only_files_with_line_breaks_are_not_split(spark, tmp_path):
+    folder = tmp_path / "a folder é"
+    folder.mkdir()
+    record = {**BASE, "transaction_id": "TXN-B", "merchant_name": '"Corner\nShop"'}
+    (folder / "b%20 é.csv").write_text(",".join(FIELDS) + "\n" + ",".join(record.values()) + "\n")
+    many = [",".join({**BASE, "transaction_id": f"TXN-{n}"}.values()) for n in range(2000)]
+    (folder / "clean.csv").write_text("\n".join([",".join(FIELDS), *many]) + "\n")
+    path = str(folder)
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = read_csv(spark, path)
+        assert rows.rdd.getNumPartitions() > 5
+        found = {row["transaction_id"]: row["merchant_name"] for row in rows.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(found) == 2001 and found["TXN-B"] == "Corner\nShop" and found["TXN-7"] == BASE["merchant_name"]
+    assert rows.count() == 2001
+
+
 # --- paged ------------------------------------------------------------------------------------
 
 
