@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.text import to_utc_datetime
 from ledgerflow.schema import CURRENCIES, FIELDS, MERCHANT_CATEGORIES
 from ledgerflow.session import spread_small_input
 from ledgerflow.sources.csv_files import as_raw_records
@@ -124,27 +127,36 @@ def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class EventPages:
-    """Serves the ``events`` table page by page, the way an API over it would."""
+    """Serves the ``events`` table page by page, the way an API over it would, from a date on if asked."""
 
     def __init__(self, sf_dir: str) -> None:
         self.path = f"{sf_dir}/events.parquet"
-        self.held: tuple[int, Any] = (-1, None)
+        self.held: tuple[Any, Any] = (None, None)
+        self.sizes: dict[Any, int] = {}
 
-    def _rows(self, table: pq.ParquetFile, group: int):
+    def _rows(self, table: pq.ParquetFile, group: int, since: str | None):
         """A row group; the last one is held, since a reader's next page is mostly in it."""
-        if self.held[0] != group:
-            self.held = (group, table.read_row_group(group, ["event_id", "ts", "user_id", "value"]))
+        if self.held[0] != (group, since):
+            rows = table.read_row_group(group, ["event_id", "ts", "user_id", "value"])
+            if since:
+                bound = to_utc_datetime(since).replace(tzinfo=None)
+                rows = rows.filter(pc.greater_equal(rows["ts"], pa.scalar(bound, rows.schema.field("ts").type)))
+            self.held = ((group, since), rows)
+            self.sizes[group, since] = rows.num_rows
         return self.held[1]
 
     def __call__(self, params: dict[str, Any]) -> list[dict[str, Any]]:
         start, stop = params["offset"], params["offset"] + params["limit"]
+        since = params.get("transaction_date", "").removeprefix("gte.") or None
         records, seen = [], 0
         table = pq.ParquetFile(self.path)
         for group in range(table.num_row_groups):
-            rows = table.metadata.row_group(group).num_rows
+            if (group, since) not in self.sizes:
+                self._rows(table, group, since)
+            rows = self.sizes[group, since]
             if seen < stop and seen + rows > start:
                 first = max(start - seen, 0)
-                records += self._rows(table, group).slice(first, min(stop - seen, rows) - first).to_pylist()
+                records += self._rows(table, group, since).slice(first, min(stop - seen, rows) - first).to_pylist()
             seen += rows
         return [_api_record(row) for row in records]
 

@@ -245,8 +245,8 @@ def _gold_model_checks() -> str:
 
 
 _ISO = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
-_MULTI = """SELECT account_id, transaction_date, count(DISTINCT currency) AS currency_count FROM completed
-GROUP BY account_id, transaction_date HAVING count(DISTINCT currency) > 1"""
+_MULTI = """SELECT a AS account_id, d AS transaction_date, count(DISTINCT x) AS currency_count FROM cells
+GROUP BY a, d HAVING count(DISTINCT x) > 1"""
 
 
 def _profile() -> str:
@@ -480,15 +480,26 @@ ORACLE: dict[str, str] = {
     "validate_errors": f"""{CHECKED} SELECT transaction_id, len(errors) = 0 AS is_valid,
        array_to_string(errors, '; ') AS error_reason, len(errors) AS error_count FROM checked""",
     "contract_errors": f"WITH {FEED}, {_checked(contract=True)} {_errors_of('WHERE len(errors) > 0')}",
+    "contract_from_file": f"""WITH {FEED}, {_checked(contract=True)}
+SELECT transaction_id, array_to_string(errors, '; ') AS error_reason FROM checked WHERE len(errors) > 0""",
     "api_record_errors": _api_errors(),
     "valid_rows": f"{VALID} SELECT {BUSINESS} FROM valid",
     "quarantine_rows": f"""{QUARANTINE} SELECT * EXCLUDE (errors) FROM quarantine""",
     "invalid_by_rule": f"""{QUARANTINE}
 SELECT rule, count(*) AS failures FROM (SELECT unnest(errors) AS rule FROM quarantine) GROUP BY rule""",
+    "invalid_by_kind": f"""{QUARANTINE},
+rules AS (SELECT unnest(errors) AS rule FROM quarantine),
+kinds AS (
+  SELECT CASE WHEN rule LIKE '% violates schema: %'
+              THEN regexp_replace(rule, '^([a-z_]+ violates schema:) .*?(is not |is less |does not )', '\\1 \\2')
+              ELSE rule END AS rule FROM rules)
+SELECT rule, count(*) AS failures FROM kinds GROUP BY rule""",
     "rows_with_audit": f"{VALID} SELECT transaction_id, {AUDIT_1} FROM valid",
     "paged_source": """SELECT event_id AS id, 'TXN-' || event_id AS transaction_id,
        'ACC-' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS account_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS transaction_date, CAST(value AS DECIMAL(18, 2)) AS amount FROM events""",
+    "paged_since": """SELECT 'TXN-' || event_id AS transaction_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS transaction_date FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00'""",
     "source_sample_check": """SELECT count(*) AS records_read, count(*) AS valid_records, 0::BIGINT AS quarantined_records,
        string_agg(id, ',' ORDER BY id) AS sample_transaction_ids
 FROM (SELECT 'TXN-' || event_id AS id FROM events ORDER BY event_id LIMIT 5)""",
@@ -565,6 +576,10 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
        (SELECT count(*) FROM ({_MULTI})) AS multi_currency_account_dates FROM bronze""",
     "multi_currency_days": f"{GOLD} {_MULTI}",
     "data_profile": _profile(),
+    "report_read_back": f"""{GOLD} SELECT count(*) AS valid_records,
+       count(*) FILTER (NOT is_duplicate) AS canonical_valid_records, count(*) FILTER (is_duplicate) AS duplicate_records,
+       (SELECT count(*) FROM checked WHERE len(errors) > 0) AS quarantined_records,
+       (SELECT count(*) FROM gold) AS gold_daily_summary_rows FROM bronze""",
     "batch_max_event_time": f"{VALID} SELECT {_ISO.format('max(transaction_date)')} AS watermark FROM valid",
     "run_metrics": _RUN_METRICS,
     "metric_warnings": _METRIC_WARNINGS,
@@ -572,6 +587,12 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
     "stored_gold": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()}, {_gold()} SELECT * FROM gold",
     "stored_quarantine": _STORED_QUARANTINE,
     "stored_control": _STORED_CONTROL,
+    "incremental_proof": f"""{BATCHES} SELECT count(*) AS expected_inserted_valid_records,
+       count(*) AS actual_inserted_valid_records, count(*) AS persisted_new_records,
+       (SELECT {_ISO.format("max(transaction_date)")} FROM valid_2) AS actual_watermark, true AS passed
+FROM valid_2 ANTI JOIN valid_1 USING (transaction_id)""",
+    "step_durations": f"""{BATCHES} SELECT unnest(['source_load', 'validation', 'duplicate_detection', 'storage']) AS step,
+       true AS was_timed, (SELECT count(*) FROM checked_1) AS records_read""",
     "whole_run": _WHOLE_RUN,
     "csv_roundtrip_export": f"{BRONZE} SELECT {BUSINESS}, is_duplicate, duplicate_rank FROM bronze",
 }

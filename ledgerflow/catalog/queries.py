@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from ledgerflow.catalog.feed import (
     raw_feed,
 )
 from ledgerflow.functions.text import format_utc
-from ledgerflow.operators.contract import Contract
+from ledgerflow.operators.contract import Contract, load_contract
 from ledgerflow.operators.duplicates import (
     canonical_rows,
     duplicate_groups,
@@ -40,7 +41,13 @@ from ledgerflow.operators.gold import (
 )
 from ledgerflow.operators.merge import resolve_id_collisions, unseen_rows, upsert_by_key
 from ledgerflow.operators.metrics import run_metrics
-from ledgerflow.operators.profile import account_count, bronze_summary, build_profile, value_distribution
+from ledgerflow.operators.profile import (
+    account_count,
+    bronze_summary,
+    build_profile,
+    profile_report,
+    value_distribution,
+)
 from ledgerflow.operators.quality import (
     accepted_values,
     check_equal,
@@ -54,6 +61,7 @@ from ledgerflow.operators.quality import (
     staging_checks,
 )
 from ledgerflow.operators.validate import (
+    invalid_by_kind,
     invalid_by_rule,
     quarantine_rows,
     valid_rows,
@@ -62,7 +70,7 @@ from ledgerflow.operators.validate import (
 )
 from ledgerflow.operators.watermark import advance_watermark, lookback, rows_since
 from ledgerflow.plans.ingest import run_ingestion
-from ledgerflow.plans.run import run_pipeline, run_transform
+from ledgerflow.plans.run import prove_incremental, run_pipeline, run_transform
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import TableStore
 from ledgerflow.schema import (
@@ -78,7 +86,7 @@ from ledgerflow.schema import (
     QUARANTINE,
     default_contract,
 )
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, write_json_report, write_text
 from ledgerflow.sources.csv_files import as_raw_records, normalize_columns, read_csv
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.json_records import json_records
@@ -169,6 +177,16 @@ def contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def contract_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract written as a JSON document, loaded from it and applied."""
+    path = f"{scratch_path(spark, 'contract')}/transactions_schema.json"
+    write_text(spark, path, json.dumps(default_contract(), default=float))
+    checked = validate(raw_feed(spark, sf_dir), load_contract(spark, path))
+    reason = F.array_join("errors", "; ").alias("error_reason")
+    return checked.filter(~F.col("is_valid")).select("transaction_id", reason)
+
+
 @query
 def api_record_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON records with nulls, missing fields and an extra field, checked by rules and contract."""
@@ -218,6 +236,15 @@ def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def paged_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A paged scan whose lower bound the server applies."""
+    cores = spark.sparkContext.defaultParallelism
+    bound = "2024-01-20T12:00:00Z"
+    pages = read_paged(spark, EventPages(sf_dir), watermark=bound, page_size=2000, parallelism=cores)
+    return pages.select("transaction_id", "transaction_date")
+
+
 @query
 def source_sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first page of a source against the contract; the page size is the feature."""
@@ -586,6 +613,21 @@ def data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_profile(bronze, _quarantine(spark, sf_dir), daily_summary(bronze))
 
 
+@query
+def report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row counts of the profile report, written as JSON and read again."""
+    bronze = _stored_bronze(spark, sf_dir)
+    profile = build_profile(bronze, _quarantine(spark, sf_dir), daily_summary(bronze), invalid_by_kind)
+    path = f"{scratch_path(spark, 'report')}/data_profile.json"
+    write_json_report(spark, profile_report(profile), path)
+    return spark.read.option("multiLine", True).json(path).select("row_counts.*")
+
+
+@query
+def invalid_by_kind_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return invalid_by_kind(_quarantine(spark, sf_dir))
+
+
 @query
 def batch_max_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = _control(_validated(spark, sf_dir), BATCH_1)
@@ -663,6 +705,10 @@ def metric_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_stored_batches(spark: SparkSession, sf_dir: str, transform: bool) -> TableStore:
+    return TableStore(spark, _run_batches(spark, sf_dir, transform)[0].store_path)
+
+
+def _run_batches(spark: SparkSession, sf_dir: str, transform: bool) -> tuple[Settings, dict]:
     """Both batches through files, store and watermark, as a scheduled job would run them."""
     root = scratch_path(spark, "store")
     first = _feed_csv(spark, first_batch(spark, sf_dir).select(*FIELDS))
@@ -672,7 +718,7 @@ def _two_stored_batches(spark: SparkSession, sf_dir: str, transform: bool) -> Ta
         return Settings(csv_path=path, store_path=f"{root}/tables", output_path=f"{root}/out", source="csv")
 
     for path, mode, audit in ((first, "full", BATCH_1), (whole, "incremental", BATCH_2)):
-        run_ingestion(
+        summary = run_ingestion(
             spark,
             settings(path),
             mode,
@@ -682,7 +728,7 @@ def _two_stored_batches(spark: SparkSession, sf_dir: str, transform: bool) -> Ta
         )
         if transform:
             run_transform(spark, settings(path), export=False, updated_at=audit["ingestion_timestamp"])
-    return TableStore(spark, f"{root}/tables")
+    return settings(whole), summary
 
 
 @query
@@ -711,6 +757,30 @@ def stored_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.withColumn("lookback_days", F.col("lookback_days").cast("bigint"))
 
 
+@query
+def incremental_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second stored batch against the ids and the watermark that the feed lets expect."""
+    settings, summary = _run_batches(spark, sf_dir, transform=False)
+    first, second = _batches(spark, sf_dir)
+    new_ids = _written(unseen_rows(second, first, ["transaction_id"]).select("transaction_id"))
+    latest = second.select(format_utc(F.max("transaction_date"))).first()[0]
+    proof = prove_incremental(spark, settings, new_ids, summary, latest)
+    names = ["expected_inserted_valid_records", "actual_inserted_valid_records", "persisted_new_records"]
+    schema = ", ".join(f"{name} bigint" for name in names) + ", actual_watermark string, passed boolean"
+    return spark.createDataFrame([tuple(proof[n] for n in (*names, "actual_watermark", "passed"))], schema)
+
+
+@query
+def step_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timed steps of an ingestion of the first batch."""
+    root = scratch_path(spark, "store")
+    path = _feed_csv(spark, first_batch(spark, sf_dir).select(*FIELDS))
+    settings = Settings(csv_path=path, store_path=f"{root}/tables", output_path=f"{root}/out", source="csv")
+    summary = run_ingestion(spark, settings, export=False)
+    rows = [(step, taken >= 0, summary["records_read"]) for step, taken in summary["durations_seconds"].items()]
+    return spark.createDataFrame(rows, "step string, was_timed boolean, records_read bigint")
+
+
 @query
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full run with its incremental proof pass; one row of counts per pass."""

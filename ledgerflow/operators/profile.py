@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -62,8 +63,13 @@ def _unpivot(one_row: DataFrame, sections: dict[str, str]) -> DataFrame:
     return one_row.select(F.inline(cells))
 
 
-def build_profile(bronze: DataFrame, quarantine: DataFrame, gold: DataFrame) -> DataFrame:
-    """The profile as rows ``(section, key, value)``."""
+def build_profile(
+    bronze: DataFrame,
+    quarantine: DataFrame,
+    gold: DataFrame,
+    rules: Callable[[DataFrame], DataFrame] = invalid_by_rule,
+) -> DataFrame:
+    """The profile as rows ``(section, key, value)``; ``rules`` counts the failures of quarantine."""
     parts = [
         _unpivot(
             bronze_summary(bronze),
@@ -86,13 +92,16 @@ def build_profile(bronze: DataFrame, quarantine: DataFrame, gold: DataFrame) ->
         value_distribution(bronze).select(
             *_long(F.concat("column_name", F.lit("_distribution")), F.col("value"), F.col("row_count"))
         ),
-        invalid_by_rule(quarantine).select(*_long("invalid_count_by_rule", F.col("rule"), F.col("failures"))),
+        rules(quarantine).select(*_long("invalid_count_by_rule", F.col("rule"), F.col("failures"))),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
 def profile_report(profile: DataFrame) -> dict[str, Any]:
-    """The profile as a nested report; its size follows the value lists, not the data."""
+    """The profile as a nested report.
+
+    Built with ``invalid_by_kind``, its size follows the rules and value lists, not the data.
+    """
     report: dict[str, Any] = {f"{column}_distribution": {} for column in DISTRIBUTED}
     report |= {"row_counts": {}, "date_range": {}, "invalid_count_by_rule": {}}
     for section, key, value in profile.collect():

@@ -22,6 +22,8 @@ ACCOUNT_ID = r"\AACC-[0-9]{4}\z"
 EVENT_TIME = "_event_time"
 # The text of an explicit null: a rule on such a field sees this word.
 NULL_TEXT = "None"
+# The value in a contract message, between its field and what is wrong with it.
+SHOWN_VALUE = r"(?s)^(\w+ violates schema:) .*['\)] (is |does not match )"
 
 
 @dataclass(frozen=True)
@@ -219,9 +221,23 @@ def with_audit_columns(
 
 
 def invalid_by_rule(quarantine: DataFrame) -> DataFrame:
-    """How often each message occurs, from the stored array rather than the display text."""
-    return (
-        quarantine.select(F.explode("errors").alias("rule"))
-        .groupBy("rule")
-        .agg(F.count(F.lit(1)).alias("failures"))
+    """How often each message occurs, from the stored array rather than the display text.
+
+    Messages that show a value or a field's name make as many rows as the data holds of them.
+    """
+    return _counted(quarantine.select(F.explode("errors").alias("rule")))
+
+
+def invalid_by_kind(quarantine: DataFrame) -> DataFrame:
+    """As :func:`invalid_by_rule` with values and names left out: as many rows as there are rules."""
+    rule = F.col("rule")
+    kind = (
+        F.when(rule.startswith("unexpected fields: "), "unexpected fields")
+        .when(rule.startswith("record violates schema: "), "record violates schema: additional properties")
+        .otherwise(F.regexp_replace(rule, SHOWN_VALUE, "$1 $2"))
     )
+    return _counted(quarantine.select(F.explode("errors").alias("rule")).select(kind.alias("rule")))
+
+
+def _counted(rules: DataFrame) -> DataFrame:
+    return rules.groupBy("rule").agg(F.count(F.lit(1)).alias("failures"))

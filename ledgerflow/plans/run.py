@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.functions.text import now_utc_text, to_utc_datetime
 from ledgerflow.operators.gold import daily_summary, staging_view
@@ -17,6 +17,7 @@ from ledgerflow.operators.quality import (
     run_assertions,
     staging_checks,
 )
+from ledgerflow.operators.validate import invalid_by_kind, invalid_by_rule
 from ledgerflow.plans.ingest import export_bronze, ingest_into, settings_contract
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import Change, TableStore, run_number
@@ -87,10 +88,13 @@ def pipeline_metrics(spark: SparkSession, summary: dict[str, Any], now: str) ->
 
 
 def write_profile(spark: SparkSession, settings: Settings) -> dict[str, Any]:
+    """The report, whose rules are named without values, and a folder of the counts by full message."""
     store = TableStore(spark, settings.store_path)
     snapshot = store.snapshot()
-    tables = [store.read_from(snapshot, table, None) for table in (BRONZE, QUARANTINE, GOLD)]
-    report = profile_report(build_profile(*tables))
+    bronze, quarantine, gold = (store.read_from(snapshot, table, None) for table in (BRONZE, QUARANTINE, GOLD))
+    by_rule = invalid_by_rule(quarantine)  # with the values found, so as long as the data has them
+    by_rule.write.mode("overwrite").json(f"{settings.output_path}/invalid_count_by_rule")
+    report = profile_report(build_profile(bronze, quarantine, gold, invalid_by_kind))
     write_json_report(spark, report, f"{settings.output_path}/data_profile.json")
     return report
 
@@ -140,21 +144,33 @@ def run_pipeline(
 
 
 def prove_incremental(
-    spark: SparkSession, settings: Settings, new_ids: list[str], summary: dict[str, Any], expected_watermark: str
+    spark: SparkSession,
+    settings: Settings,
+    new_ids: list[str] | DataFrame,
+    summary: dict[str, Any],
+    expected_watermark: str,
 ) -> dict[str, Any]:
-    """Check that a run inserted exactly the given new ids and reached the given watermark."""
+    """Check that a run inserted exactly the given new ids and reached the given watermark.
+
+    A short list of ids is repeated in the proof. A table of them, in ``transaction_id``, only counts.
+    """
+    listed = {"new_transaction_ids": new_ids} if isinstance(new_ids, list) else {}
+    if isinstance(new_ids, list):
+        new_ids = spark.createDataFrame([(key,) for key in new_ids], "transaction_id string")
+    new_ids = new_ids.select("transaction_id").distinct()
     bronze = TableStore(spark, settings.store_path).read(BRONZE)
-    persisted = bronze.filter(bronze.transaction_id.isin(new_ids)).count()
+    persisted = bronze.join(new_ids, "transaction_id", "left_semi").count()
+    expected = new_ids.count()
     proof = {
-        "new_transaction_ids": new_ids,
-        "expected_inserted_valid_records": len(new_ids),
+        **listed,
+        "expected_inserted_valid_records": expected,
         "actual_inserted_valid_records": summary["inserted_valid_records"],
         "persisted_new_records": persisted,
         "expected_watermark": expected_watermark,
         "actual_watermark": summary["watermark"],
     }
     proof["passed"] = (
-        summary["inserted_valid_records"] == persisted == len(new_ids)
+        summary["inserted_valid_records"] == persisted == expected
         and summary["watermark"] == expected_watermark
     )
     if not proof["passed"]:
