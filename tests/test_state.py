@@ -8,7 +8,8 @@ from ledgerflow.operators.metrics import SUMMARY_SCHEMA, run_metrics, timed_step
 from ledgerflow.operators.profile import build_profile, profile_report, value_distribution
 from ledgerflow.operators.duplicates import flag_duplicates
 from ledgerflow.operators.gold import daily_summary
-from ledgerflow.operators.validate import quarantine_rows, valid_rows, validate
+from ledgerflow.operators.contract import Contract
+from ledgerflow.operators.validate import invalid_by_kind, invalid_by_rule, quarantine_rows, valid_rows, validate
 from ledgerflow.operators.watermark import (
     advance_watermark,
     control_row,
@@ -19,7 +20,7 @@ from ledgerflow.operators.watermark import (
 )
 from ledgerflow.functions.text import to_utc_datetime
 from ledgerflow.plans.settings import Settings, settings_from
-from ledgerflow.schema import CONTROL_SCHEMA
+from ledgerflow.schema import CONTROL_SCHEMA, default_contract
 
 
 def test_lookback():
@@ -161,6 +162,24 @@ def test_profile(spark, make_raw):
     }
 
 
+def test_rules_of_the_report_are_as_many_as_rules_not_values(spark, make_raw):
+    """Values that look like endings of messages, and names of extra fields, make no rules of their own."""
+    odd = ["x", "' is not one of [1]", "a\nb", "' is less than the minimum of 7", "does not match 'q'"]
+    wrong = [{"transaction_id": f"TXN-{n}", "account_id": value, "currency": value} for n, value in enumerate(odd)]
+    wrong += [{"transaction_id": f"TXN-E{n}", f"extra{n}": "1"} for n in range(4)]
+    checked = validate(make_raw(*wrong), Contract(default_contract()))
+    quarantine = quarantine_rows(checked, source="csv", batch_id="b", ingestion_timestamp="2024-04-01T00:00:00Z")
+    quarantine = spark.createDataFrame(quarantine.collect(), quarantine.schema)
+    assert invalid_by_rule(quarantine).count() > 12
+    found = dict(invalid_by_kind(quarantine).collect())
+    assert found.pop("unexpected fields") == 4 and found.pop("record violates schema: additional properties") == 4
+    schema_rules = sorted(rule for rule in found if "violates schema" in rule)
+    assert [rule.split(" violates schema: ")[0] for rule in schema_rules] == ["account_id", "currency"]
+    assert schema_rules[0].startswith("account_id violates schema: does not match ")
+    assert schema_rules[1].startswith("currency violates schema: is not one of [")
+    assert len(found) == 4 and set(found.values()) == {5}
+
+
 def test_profile_of_empty_tables(spark, make_raw):
     bronze = flag_duplicates(valid_rows(validate(make_raw({"status": "x"}))))
     empty = quarantine_rows(validate(make_raw({})), source="csv", batch_id="b", ingestion_timestamp="2024-04-01T00:00:00Z")
