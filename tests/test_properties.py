@@ -80,7 +80,7 @@ def test_one_canonical_row_per_key(spark, changes):
 @given(records)
 def test_ranks_by_position_equal_ranks_by_window(spark, changes):
     keyed = with_natural_key(valid_rows(validate(raw(spark, numbered(changes)))))
-    every_key = {row[0]: 1 for row in keyed.select("natural_key_hash").distinct().collect()}
+    every_key = keyed.select("natural_key_hash").distinct().withColumn("rows", F.lit(1))
     assert same(rank_duplicates(keyed, every_key, rows_per_piece=5), rank_duplicates(keyed))
 
 
