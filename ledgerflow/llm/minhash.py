@@ -9,8 +9,10 @@ Documents with equal sets are one class from the start; only class representativ
 each bucket candidates are stars: one centre paired with the other members, so pairs grow with the
 rows, not their square. Candidates whose signatures leave the threshold possible are confirmed on
 full sets, which are made for candidates alone. Links join documents into groups; buckets that still
-hold several groups get new centres, by turns random ones and those with the most links (the original
-of many copies), until two rounds in a row find no new link.
+hold several groups get new centres once, those with the most links (the original of many copies).
+Stars may leave pairs of a bucket untested, so the
+members of all buckets that still hold several groups are then joined exactly: of each set only the
+shingles in which a link's first common one can lie (commonest last, see `_prefix_pairs`) are matched.
 
 Null and empty texts have no shingles and link with nothing. Rows with equal texts are one class.
 Rows without an id can't be named by a link: their component is null and they stay. Rows that share an
@@ -32,6 +34,12 @@ from ledgerflow.llm.tables import Scratch, measure_texts
 from ledgerflow.llm.words import LOWER, mix, span_hashes, windows, word_spans
 
 
+#: Rounds of stars before the exact join.
+STAR_ROUNDS = 2
+#: Hash buckets, as bits, whose counts order the shingles of the exact join.
+ORDER_BITS = 20
+
+
 @dataclass(frozen=True)
 class MinHash:
     width: int = 5
@@ -199,8 +207,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
     buckets = scratch.put("buckets", bands.join(shared, F.col("bucket") == F.col("k"), "left_semi"))
 
     links = labels = tested = None
-    quiet, step = 0, 0
-    while quiet < 2:
+    for step in range(STAR_ROUNDS):  # what they leave is joined exactly
         pairs = _star_pairs(buckets, labels, links, step, p)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -212,12 +219,21 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
         found = scratch.put(f"links-{step}", _confirmed(near, docs, scratch, str(step), step == 0, p))
         scratch.drop(f"sets-{step}")
         if found.isEmpty():
-            quiet += 1
-        else:
-            quiet = 0
+            break
+        links = found if links is None else links.union(found)
+        labels = components(links, scratch, f"labels-{step}")
+
+    open_ids = scratch.put("open", _open_members(buckets, labels))
+    if not open_ids.isEmpty():
+        pairs = _prefix_pairs(docs, open_ids, scratch, p)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = scratch.put("pairs-exact", pairs)
+        found = scratch.put("links-exact", _confirmed(pairs, docs, scratch, "exact", True, p))
+        scratch.drop("sets-exact", "open-sets")
+        if not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = components(links, scratch, f"labels-{step}")
-        step += 1
+            labels = components(links, scratch, "labels-exact")
 
     grouped = classes.withColumn("component", F.col("rep"))
     if labels is not None:
@@ -236,12 +252,131 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
     )
 
 
+def _with_components(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`buckets` with the group of each member so far."""
+    if labels is None:
+        return buckets.withColumn("component", F.col("rep"))
+    known = labels.select(F.col("node").alias("rep"), F.col("component").alias("low"))
+    return buckets.join(known, "rep", "left").withColumn("component", F.coalesce("low", "rep")).drop("low")
+
+
+def _open_members(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """doc_id and component of the members of buckets that hold several groups; a star has tested buckets of two."""
+    members = _with_components(buckets, labels)
+    several = members.groupBy(F.col("bucket").alias("k")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    )
+    several = several.where("low < high AND n > 2").select("k")
+    left = members.join(several, F.col("bucket") == F.col("k"), "left_semi")
+    return left.select(F.col("rep").alias("doc_id"), "component").distinct()
+
+
+def _prefix_pairs(docs: DataFrame, members: DataFrame, scratch: Scratch, p: MinHash) -> DataFrame:
+    """Pairs a < b of members in different groups: all that may link by their full sets.
+
+    Shingles have one order for all sets, those in commoner hash buckets later. If the first common
+    shingle of two sets of s and m shingles comes after i of the first set, they share at most s - i,
+    and a link needs percent / (100 + percent) of s + m. That bounds m from above, and likewise s.
+    So a text's shared template meets nothing unless it is itself enough for a link. Counts only
+    steer the order: which pairs link doesn't depend on them.
+    """
+    percent = p.percent
+
+    def measure(data, offsets):
+        hashes, first = shingle_sets(data, offsets, p.width)
+        return {"shingles": pa.array([hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())}
+
+    texts = docs.select("doc_id", "text").join(members.hint("merge"), "doc_id")
+    sets = scratch.put("open-sets", measure_texts(texts, measure, "shingles binary", keep=("doc_id", "component")))
+
+    shift = np.uint64(64 - ORDER_BITS)
+
+    def count(batches):
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for blob in batch.column(0):
+                np.add.at(total, (mix(np.frombuffer(blob.as_buffer(), np.uint64)) >> shift).astype(np.int64), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
+
+    cells = sets.select("shingles").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << ORDER_BITS, np.float32)
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for batch in batches:
+            ids, groups = (batch.column(i).to_numpy() for i in (0, 1))
+            for lo in range(0, batch.num_rows, 256):
+                out = []
+                for k in range(lo, min(lo + 256, batch.num_rows)):
+                    items = np.frombuffer(batch.column(2)[k].as_buffer(), np.uint64)
+                    size = len(items)
+                    mixed = mix(items)
+                    items = items[np.lexsort((mixed, shared.value[(mixed >> shift).astype(np.int64)]))]
+                    most = (100 + percent) * (size - np.arange(size)) // percent - size
+                    reach = int(np.searchsorted(-(100 * most), -percent * size, side="right"))
+                    out.append((items[:reach].view(np.int64), most[:reach], reach, size, ids[k], groups[k]))
+                if out:
+                    tokens, mosts, reaches, *fixed = zip(*out)
+                    wide = [np.repeat(np.array(column, np.int64), reaches) for column in fixed]
+                    columns = [np.concatenate(tokens), np.concatenate(mosts).astype(np.int64), *wide]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["token", "most", "size", "rep", "component"])
+
+    rows = sets.select("doc_id", "component", "shingles")
+    rows = rows.mapInArrow(prefixes, "token long, most long, size long, rep long, component long")
+    several = rows.groupBy(F.col("token").alias("t")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(several.where("low < high").select("t"), F.col("token") == F.col("t"), "left_semi")
+    dealt = rows.repartition("token").sortWithinPartitions("token", "size")
+
+    def meet(batches):
+        rest = None
+        for batch in batches:
+            table = np.stack([batch.column(i).to_numpy() for i in range(5)])
+            if rest is not None:
+                table = np.concatenate([rest, table], axis=1)
+            if not table.shape[1]:
+                continue
+            last = int(np.searchsorted(table[0], table[0, -1]))
+            yield from _cross_pairs(table[:, :last], percent)
+            rest = table[:, last:]
+        if rest is not None:
+            yield from _cross_pairs(rest, percent)
+
+    return dealt.mapInArrow(meet, "a long, b long").distinct()
+
+
+def _cross_pairs(table: np.ndarray, percent: int):
+    """Pairs of the prefix rows (token, most, size, rep, component; by token and size) that may link.
+
+    Rows of a token's largest group meet those of the others only.
+    """
+    edges = np.flatnonzero(np.diff(table[0])) + 1
+    for lo, hi in zip([0, *edges], [*edges, table.shape[1]]):
+        _, most, size, rep, component = table[:, lo:hi]
+        names, place, counts = np.unique(component, return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            continue
+        own = np.flatnonzero(place != counts.argmax())
+        begin = np.searchsorted(size, -(-percent * size[own] // 100))
+        end = np.maximum(begin, np.searchsorted(size, most[own], side="right"))
+        at = 0
+        upto = np.cumsum(end - begin)
+        while at < len(own):  # about a million comparisons at a time, or one row's
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 20), side="right")))
+            count = (end - begin)[at:to]
+            x = np.repeat(own[at:to], count)
+            y = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[at:to], count)
+            good = (most[y] >= size[x]) & (component[x] != component[y]) & (rep[x] != rep[y])
+            x, y = rep[x[good]], rep[y[good]]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            at = to
+
+
 def _star_pairs(buckets: DataFrame, labels: DataFrame | None, links: DataFrame | None, step: int, p: MinHash) -> DataFrame:
     """Candidate pairs a < b: in each bucket with several groups, a centre and the members of other groups."""
-    members = buckets.withColumn("component", F.col("rep"))
-    if labels is not None:
-        known = labels.select(F.col("node").alias("rep"), F.col("component").alias("low"))
-        members = buckets.join(known, "rep", "left").withColumn("component", F.coalesce("low", "rep")).drop("low")
+    members = _with_components(buckets, labels)
     chance = F.xxhash64(F.lit(p.seed + step), "bucket", "rep")
     ranks = [F.col("rep"), chance] if step == 0 else [chance]
     if step % 2 == 1 and links is not None:  # the member with the most links first

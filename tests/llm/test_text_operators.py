@@ -85,6 +85,22 @@ def test_near_duplicates(spark, docs, none, rows):
     assert minhash.drop_near_duplicates(none, scratch(spark)).count() == 0
 
 
+def test_near_duplicates_in_a_template_family_equal_brute_force(spark):
+    template = words(174, 500)  # unlinked texts share 170 of 200 shingles, linked ones four more
+    texts = [f"{template} {words(4, 1000 + i // 2)} {words(26, 5000 + i)}" for i in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    column = {item: i for i, item in enumerate(sorted(set().union(*sets)))}
+    table = np.zeros((len(sets), len(column)), np.float32)
+    for i, items in enumerate(sets):
+        table[i, [column[item] for item in items]] = 1
+    common, sizes = table @ table.T, table.sum(axis=1)
+    linked = 100 * common >= 75 * (sizes[:, None] + sizes - common)
+    assert linked.sum() == 2 * len(texts)  # itself and its sibling
+    found = minhash.near_duplicates(frame, scratch(spark)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: int(np.argmax(linked[i])) for i in range(len(texts))}
+
+
 def test_repeated_passages(spark, docs, none):
     found = substring_dedup.repeated_spans(docs).collect()
     assert {row.doc_id for row in found} >= {6, 7, 8, 10, 11, 12, 13} and not {0, 1, 3, 9, 14, 16} & {r.doc_id for r in found}
