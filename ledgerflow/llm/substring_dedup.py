@@ -2,15 +2,15 @@
 
 A gear hash rolls over a text's words (lower-cased A-Z): it doubles and adds the next word's code.
 Where its low bits are zero a chunk ends, so cuts depend on the last few words alone and an insertion
-shifts no later cut. Stretches without a cut are split at a fixed length. A chunk is identified by a
-96-bit digest. Chunks that a document with a smaller id holds too are repeated; stretches of
-consecutive repeated chunks with at least `least_words` words are repeated passages. The first document
-keeps a passage, later ones lose it.
+shifts no later cut. Stretches without a cut are split at a fixed length. Runs of consecutive chunks
+with just `least_words` words or more, seen from their first or their last chunk, are identified by a
+96-bit digest. A run that one document with a smaller id holds as a whole is repeated; repeated runs that
+overlap or touch form a repeated passage. The first document keeps a passage, later ones lose it.
 
 A passage's first and last words may fall into chunks that reach beyond it, so a stretch is shorter
 than the passage by about a chunk on either side; `least_words` allows for that.
 
-Chunk digests are counted with partial sums, so a line in every document costs each task one row. Texts
+Digests are counted with partial sums, so a line in every document costs each task one row. Texts
 aren't shuffled. Null and empty texts have no chunks. Rows without an id can't be ordered and are left
 alone; rows that share an id are one document. An empty table gives no spans. Other columns are
 ignored by `repeated_spans` and kept by `drop_spans`.
@@ -54,8 +54,24 @@ def cut_words(hashes: np.ndarray, first: np.ndarray, p: Chunking) -> np.ndarray:
     return np.repeat(starts, parts) + inner * p.most_words
 
 
-def chunk_rows(docs: DataFrame, p: Chunking) -> DataFrame:
-    """doc_id, word (the chunk's first), words and digest (d1, d2) of every chunk."""
+def chunk_runs(at: np.ndarray, to: np.ndarray, text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last chunk of the shortest runs of `least` words from each chunk on and up to each chunk.
+
+    They cover every longer run: what a run from a chunk on leaves at its end is in one up to the end.
+    """
+    begin = np.arange(len(at))
+    last = np.searchsorted(to, at + least)
+    inside = last < len(at)
+    inside[inside] = text[last[inside]] == text[inside]
+    begin, last = begin[inside], last[inside]
+    more = np.setdiff1d(np.arange(len(at)), last)
+    back = np.searchsorted(at, to[more] - least, side="right") - 1
+    fits = (back >= 0) & (text[back] == text[more])
+    return np.concatenate([begin, back[fits]]), np.concatenate([last, more[fits]])
+
+
+def run_rows(docs: DataFrame, p: Chunking) -> DataFrame:
+    """doc_id, word (the run's first), words and digest (d1, d2) of every run of chunks."""
 
     def split(batches):
         for part, data, offsets in text_blocks(batches):
@@ -65,19 +81,24 @@ def chunk_rows(docs: DataFrame, p: Chunking) -> DataFrame:
             at = cut_words(hashes, first, p)
             to = np.append(at[1:], len(hashes))
             text = np.searchsorted(first, at, side="right") - 1
+            begin, last = chunk_runs(at, to, text, p.least_words)
             digests = []
             for salt in (0x1F83D9AB, 0x5BE0CD19):
                 total = np.zeros(len(at), np.uint64)
                 for k in range(p.most_words):
                     inside = at + k < to
                     total[inside] = mix(total[inside] * np.uint64(0x100000001B3) + (hashes[at[inside] + k] ^ np.uint64(salt)))
-                digests.append(total.view(np.int64))
+                whole = np.zeros(len(begin), np.uint64)
+                for k in range(int((last - begin).max(initial=-1)) + 1):
+                    inside = begin + k <= last
+                    whole[inside] = mix(whole[inside] * np.uint64(0x100000001B3) + total[begin[inside] + k])
+                digests.append(whole.view(np.int64))
             digests[1] = digests[1].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").take(pa.array(text)),
-                    pa.array((at - first[text]).astype(np.int32)),
-                    pa.array((to - at).astype(np.int16)),
+                    part.column("doc_id").take(pa.array(text[begin])),
+                    pa.array((at[begin] - first[text[begin]]).astype(np.int32)),
+                    pa.array((to[last] - at[begin]).astype(np.int16)),
                     *map(pa.array, digests),
                 ],
                 ["doc_id", "word", "words", "d1", "d2"],
@@ -89,22 +110,21 @@ def chunk_rows(docs: DataFrame, p: Chunking) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, p: Chunking = Chunking()) -> DataFrame:
     """doc_id, word, words and first_doc_id of every passage that an earlier document holds, too."""
-    chunks = chunk_rows(docs, p)
-    held = chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
+    found = run_rows(docs, p)
+    held = found.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
     held = held.where("first_doc_id < last").drop("last")
-    again = chunks.join(held, ["d1", "d2"]).where("doc_id > first_doc_id").drop("d1", "d2").distinct()
-    order = Window.partitionBy("doc_id").orderBy("word")
-    apart = F.coalesce(F.lag(F.col("word") + F.col("words")).over(order) != F.col("word"), F.lit(True))
-    runs = again.withColumn("apart", apart.cast("int"))
+    again = found.join(held, ["d1", "d2"]).where("doc_id > first_doc_id").drop("d1", "d2")
+    order = Window.partitionBy("doc_id").orderBy("word", "words")
+    before = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = again.withColumn("apart", F.coalesce(before < F.col("word"), F.lit(True)).cast("int"))
     runs = runs.withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return (
         runs.groupBy("doc_id", "run")
         .agg(
             F.min("word").cast("long").alias("word"),
-            F.sum("words").alias("words"),
+            (F.max(F.col("word") + F.col("words")) - F.min("word")).cast("long").alias("words"),
             F.min("first_doc_id").alias("first_doc_id"),
         )
-        .where(F.col("words") >= p.least_words)
         .drop("run")
     )
 

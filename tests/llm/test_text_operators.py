@@ -111,6 +111,15 @@ def test_repeated_passages(spark, docs, none):
     assert substring_dedup.dedupe_substrings(none, scratch(spark)).count() == 0
 
 
+def test_passages_are_held_by_one_earlier_document(spark):
+    text = words(200, 700).split()
+    pieces = [" ".join(text[i : i + 15]) for i in range(0, 200, 5)]  # every chunk, but never 20 words together
+    rows = [*enumerate(pieces), (100, " ".join(text)), (101, words(30, 701) + " " + " ".join(text[50:150]))]
+    found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.first_doc_id) for r in found] == [(101, 100)]
+    assert 30 <= found[0].word <= 30 + 16 + 4 and 130 - 16 <= found[0].word + found[0].words <= 130
+
+
 def test_packing(spark, docs, none, rows):
     from tokenizers import Tokenizer
 
