@@ -132,9 +132,92 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(least(low, ve
 FROM embeddings LEFT JOIN lowest ON lowest.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id
 """
 
+_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), named AS (
+  SELECT DISTINCT conv_id, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS code
+  FROM turns
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, code), lambda crc, b:
+           list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i:
+             CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 6 AS head
+  FROM named
+), taken AS (
+  SELECT i.conv_id, 0 AS own, place, role, text FROM ids i JOIN turns t ON t.conv_id = i.base AND place <= head
+  UNION ALL
+  SELECT i.conv_id, 1, place, role, text FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND place > head
+), rebuilt AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY own, place) FILTER (own IS NOT NULL) AS said
+  FROM ids LEFT JOIN taken USING (conv_id) GROUP BY conv_id
+), paths AS (
+  SELECT conv_id, coalesce(said, []) AS said, unnest(range(0, len(coalesce(said, [])) + 1)) AS depth FROM rebuilt
+), nodes AS (
+  SELECT said[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(said) = depth), '') AS ends
+  FROM paths GROUP BY 1, 2
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), valued AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(node[depth].text) END AS saved
+  FROM nodes LEFT JOIN children USING (node)
+), above AS (
+  SELECT node, saved, n_children, unnest(range(0, depth + 1)) AS d FROM valued
+), subtrees AS (
+  SELECT node[1:d] AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM above GROUP BY 1
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN subtrees s ON s.node = v.node LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.node[1:v.depth - 1]
+"""
+
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), sized AS (
+  SELECT lang, w, i, unnest([1, 2, 3, 4, 5]) AS words FROM places
+), counts AS (
+  SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM sized WHERE i + words - 1 <= len(w) GROUP BY 1, 2, 3
+), candidates AS (
+  SELECT lang, words, phrase, f FROM counts WHERE words >= 2 AND f >= 100
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates o WHERE o.lang = c.lang AND o.words > c.words AND 100 * o.f >= 100 * c.f
+      AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, words)) AS k FROM kept
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, n, (1000 * a * n) // (l.f * r.f) AS score
+  FROM cuts JOIN totals ON totals.lang = cuts.lang
+  JOIN counts l ON l.lang = cuts.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts r ON r.lang = cuts.lang AND r.phrase = array_to_string(w[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op1_mix_sources": _MIX,
     "op2_minhash": _NEAR_TEXTS,
     "op5_reply_trees": _CHATS,
     "op7_near_vectors": _NEAR_VECTORS,
+    "op12_prefix_trie": _TRIE,
+    "op13_collocations": _PHRASES,
 }

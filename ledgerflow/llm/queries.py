@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import (
+    byte_bpe,
+    collocations,
     embedding_dedup,
     minhash,
     mixing,
     packing,
     pairwise_quality,
+    prefix_trie,
     quality_rules,
     reply_trees,
     sharding,
@@ -104,6 +107,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, trusted)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"file://{tokenizer_path('byte_bpe_multi_50k.tiktoken')}"
+    vocabulary = byte_bpe.Vocabulary.load(spark, path, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode_ids(byte_bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op12")
+    placed = prefix_trie.placed_turns(table(spark, sf_dir, "conversations"), scratch)
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt_conversations(placed, scratch), scratch)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), Scratch(spark, "op13"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_minhash": op2_minhash,
@@ -115,4 +142,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_shards": op9_shards,
     "op10_quality_rules": op10_quality_rules,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_collocations": op13_collocations,
 }

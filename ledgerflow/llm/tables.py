@@ -37,6 +37,10 @@ class Scratch:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def read(self, name: str) -> DataFrame:
+        """A table that was put before."""
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
     def drop(self, *names: str) -> None:
         for name in names or ("",):
             delete_path(self.spark, f"{self.root}/{name}".rstrip("/"))

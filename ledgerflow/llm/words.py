@@ -133,14 +133,14 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_blocks(
-    batches: Iterator[pa.RecordBatch], column: str = "text"
+    batches: Iterator[pa.RecordBatch], column: str = "text", block: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Consecutive rows with about a block of text: the rows, their bytes, and each text's first byte."""
     for batch in batches:
         data, offsets = text_arrays(batch.column(batch.schema.get_field_index(column)))
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + block, side="right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
         del batch, data, offsets  # before the next one arrives

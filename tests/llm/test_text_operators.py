@@ -51,7 +51,7 @@ def scratch(spark):
 
 def test_one_query_per_operator_and_sql_agrees(spark, sf_dir):
     names = [name for name in queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14)) and "pipeline" in queries()
     connection = duckdb.connect()
     for name in ("documents", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
