@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 from array import array
 from dataclasses import dataclass
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -65,15 +66,25 @@ class RankQueue:
     def __init__(self, ranks: int):
         if ranks > 1 << 3 * LEVEL_BITS:
             raise ValueError(f"the rank queue holds {1 << 3 * LEVEL_BITS} ranks, not {ranks}")
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, array] = {}
         self.low = [0] * (1 << 2 * LEVEL_BITS)
         self.middle = [0] * (1 << LEVEL_BITS)
         self.top = 0
 
+    def fill(self, ranks: np.ndarray) -> None:
+        """Enter each place under its rank; places with rank -1 are left out."""
+        order = np.argsort(ranks, kind="stable").astype(np.int32)
+        order = order[np.searchsorted(ranks[order], 0) :]
+        sorted_ranks = ranks[order]
+        begins = np.flatnonzero(np.diff(sorted_ranks, prepend=-1)).tolist()
+        for rank, begin, end in zip(sorted_ranks[begins].tolist(), begins, [*begins[1:], len(order)]):
+            self.push(rank, int(order[begin]))
+            self.buckets[rank].frombytes(order[begin + 1 : end].tobytes())
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
-            self.buckets[rank] = [position]
+            self.buckets[rank] = array("i", (position,))
             word, group = rank >> LEVEL_BITS, rank >> 2 * LEVEL_BITS
             self.low[word] |= 1 << (rank & 63)
             self.middle[group] |= 1 << (word & 63)
@@ -93,10 +104,7 @@ class RankQueue:
             self.middle[group] &= self.middle[group] - 1
             if not self.middle[group]:
                 self.top &= self.top - 1
-        places = self.buckets.pop(rank)
-        if len(places) > 1:
-            places.sort()
-        return rank, places
+        return rank, sorted(self.buckets.pop(rank))
 
 
 def _first_set(word: int) -> int:
@@ -109,7 +117,8 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         tokens = vocabulary.tokens()
         self.ranks = {token: rank for rank, token in enumerate(tokens) if token}
-        self.longest = max(map(len, self.ranks))
+        self.one = np.array([self.ranks[bytes((c,))] for c in range(256)], np.int32)
+        self.two = np.array([self.ranks.get(bytes((c >> 8, c & 255)), -1) for c in range(1 << 16)], np.int32)
         self.split = regex.compile(vocabulary.pattern).findall
         self.queue = RankQueue(len(tokens))
         self.forget()
@@ -118,86 +127,90 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.begins, self.ids = array("q", [0]), array("I")
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks, longest, queue = self.ranks, self.longest, self.queue
-        whole = ranks.get(piece) if len(piece) <= longest else None
-        if whole is not None:
-            return [whole]
-        size = len(piece)
-        after = list(range(1, size + 1))  # the token at i ends where the next one begins
-        before = list(range(-1, size - 1))
-        # The rank of the token at i with the next one; -1 also where no token begins.
-        pair = [ranks.get(piece[i : i + 2], -1) for i in range(size - 1)]
-        pair.append(-1)
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                queue.push(rank, i)
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens that aren't empty, and where each one's begin, the end at last.
+
+        All go through one queue: merges in one pre-token don't touch another, so the order among them
+        doesn't matter.
+        """
+        whole = b"".join(pieces)
+        size = len(whole)
+        data = np.frombuffer(whole, np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(piece) for piece in pieces], dtype=np.int64)])
+        begin = np.zeros(size + 1, np.uint8)
+        begin[bounds] = 1
+        ids, pairs = self.one[data], np.full(size, -1, np.int32)
+        pairs[:-1] = self.two[data[:-1].astype(np.int32) << 8 | data[1:]]
+        pairs[begin[1:] > 0] = -1
+        for at, listed in enumerate(map(self.ranks.get, pieces)):
+            if listed is not None:  # one token, whatever its parts would give
+                ids[bounds[at] : bounds[at + 1]] = -1
+                ids[bounds[at]] = listed
+                pairs[bounds[at] : bounds[at + 1]] = -1
+        queue, rank_of, begins = self.queue, self.ranks.get, begin.tobytes()
+        queue.fill(pairs)
+        after = array("i", np.arange(1, size + 1, dtype=np.int32).tobytes())  # where the next token begins
+        before = array("i", np.arange(-1, size - 1, dtype=np.int32).tobytes())
+        # The token that begins at i, and the rank of it with the next one; -1 where there is none.
+        token, pair = array("i", ids.tobytes()), array("i", pairs.tobytes())
+        push = queue.push
         while (lowest := queue.pop()) is not None:
             rank, places = lowest
             for at, i in enumerate(places):
                 if pair[i] != rank:
                     continue  # stale
                 j = after[i]
-                end = after[i] = after[j]
-                pair[j] = pair[i] = -1
-                new = -1
-                if end < size:
+                after[i] = end = after[j]
+                token[i] = rank
+                token[j] = pair[j] = new = -1
+                if not begins[end]:
                     before[end] = i
-                    if after[end] - i <= longest:
-                        new = pair[i] = ranks.get(piece[i : after[end]], -1)
-                        if new >= 0:
-                            queue.push(new, i)
-                left = before[i]
-                if left >= 0:
-                    wider = ranks.get(piece[left:end], -1) if end - left <= longest else -1
-                    pair[left] = wider
+                    new = rank_of(whole[i : after[end]], -1)
+                    if new >= 0:
+                        push(new, i)
+                pair[i] = new
+                if not begins[i]:
+                    left = before[i]
+                    pair[left] = wider = rank_of(whole[left:end], -1)
                     if wider >= 0:
-                        queue.push(wider, left)
+                        push(wider, left)
                         if wider < rank:
                             new = wider
                 if 0 <= new < rank:  # the new pair goes first
                     for rest in places[at + 1 :]:
-                        queue.push(rank, rest)
+                        push(rank, rest)
                     break
-        ids, at = [], 0
-        while at < size:
-            ids.append(ranks[piece[at : after[at]]])
-            at = after[at]
-        return ids
+        ids = np.frombuffer(token, np.int32)
+        alive = np.flatnonzero(ids >= 0)
+        return ids[alive].astype(np.uint32), np.searchsorted(alive, bounds)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin, the end at last."""
         if len(self.known) > MOST_REMEMBERED or len(self.ids) > MOST_REMEMBERED_IDS:
             self.forget()
-        places, counts, passing = [], [], []
-        for text in texts:
-            pieces = self.split(text)
-            found = list(map(self.known.get, pieces))
-            if None in found:
-                for at, place in enumerate(found):
-                    if place is None:
-                        found[at] = self._learn(pieces[at], passing)
-            places.append(np.array(found, np.int64))
-            counts.append(len(found))
-        for piece in passing:
-            self.known.pop(piece, None)
-        place = np.concatenate([np.zeros(0, np.int64), *places])
+        known = self.known
+        split = list(map(self.split, texts))
+        counts = list(map(len, split))
+        pieces = list(chain.from_iterable(split))
+        new = list(dict.fromkeys(filterfalse(known.__contains__, pieces)))
+        if new:
+            self._learn(new)
+        place = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        for piece in new:
+            if len(piece) > REMEMBERED_CHARS:
+                del known[piece]
         begins, ids = np.frombuffer(self.begins, np.int64), np.frombuffer(self.ids, np.uint32)
         sizes = begins[place + 1] - begins[place]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         out = ids[np.arange(ends[-1]) + np.repeat(begins[place] - ends[:-1], sizes)]
         return out, ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
 
-    def _learn(self, piece: str, passing: list[str]) -> int:
-        place = self.known.get(piece)
-        if place is None:
-            self.ids.extend(self.merge(piece.encode()))
-            self.begins.append(len(self.ids))
-            place = self.known[piece] = len(self.begins) - 2
-            if len(piece) > REMEMBERED_CHARS:
-                passing.append(piece)
-        return place
+    def _learn(self, pieces: list[str]) -> None:
+        ids, at = self.merge([piece.encode() for piece in pieces])
+        first = len(self.begins) - 1
+        self.begins.frombytes((at[1:] + len(self.ids)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.tobytes())
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
 
 
 #: The encoder of this worker, kept between its tasks.
