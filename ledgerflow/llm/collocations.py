@@ -12,8 +12,10 @@ frequent phrases of the level before says so. The bitmap has at most 2**27 bits
 data; where hashes meet, more is counted than needed and nothing is lost, as counts of the phrases
 themselves decide. In a task, phrases are told apart by two 64-bit hashes, afterwards by their words.
 
-A stripe is cut into slices by the next word's hash, so the stripe of a frequent word, or of the empty
-prefix, is spread over tasks. A merging task reads its slices in sorted order and holds one of them.
+The stripe of the empty prefix, and those of prefixes with more than one in `HOT_SHARE` of all words,
+are cut into slices by the next word's hash, which spreads them over tasks. There are at most
+`HOT_SHARE` such prefixes; their hashes are broadcast. A merging task reads its slices in sorted order
+and holds one of them.
 
 A-Z are lower-cased. Texts are cut at `.,;:!?` and 0x0A to 0x0D into pieces and those at spaces and
 tabs into words; phrases lie within a piece. Null texts are empty, a null language is `und`. Repeated
@@ -31,9 +33,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.hot_keys import join_facts
+from ledgerflow.llm.hot_keys import HOT_SHARE, join_facts
 from ledgerflow.llm.tables import Scratch
-from ledgerflow.llm.words import LOWER, give_back, mix, owners, span_hashes, text_blocks, windows, word_spans
+from ledgerflow.llm.words import LOWER, give_back, mix, owners, span_hashes, text_arrays, text_blocks, windows, word_spans
 
 BREAKS = np.zeros(256, bool)
 BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -41,11 +43,12 @@ IN_PHRASE_WORD = ~BREAKS
 IN_PHRASE_WORD[[0x20, 0x09]] = False
 
 #: Text bytes that a task counts at a time.
-COUNTED_BYTES = 8 << 20
+COUNTED_BYTES = 6 << 20
 #: Bits of a bitmap for each phrase in it, and most bits of one.
 BITS_PER_PHRASE = 16
 MOST_BITS = 1 << 27
-STRIPE = "lang string, prefix string, slice int, next array<string>, n array<long>"
+#: The next words, joined by spaces, and their counts as 64-bit integers.
+STRIPE = "lang string, prefix string, slice int, next string, n binary"
 
 
 @dataclass(frozen=True)
@@ -55,8 +58,8 @@ class Phrases:
     #: A phrase goes if a longer one has so many percent of its occurrences.
     subsumed_percent: int = 100
     per_lang: int = 2000
-    #: Slices of a stripe whose prefix has 0, 1, 2 and so on words; the last holds for longer ones.
-    slices: tuple[int, ...] = (256, 64, 16, 4)
+    #: Slices of the stripe of the empty prefix and of hot prefixes.
+    slices: int = 256
 
 
 class _Pieces:
@@ -105,9 +108,12 @@ def _lang_codes(langs: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return coded.indices.to_numpy(), names, hashes
 
 
-def _stripes(docs: DataFrame, width: int, p: Phrases, bitmap) -> DataFrame:
-    """Stripes of the prefixes of `width - 1` words, as far as a task's texts give them."""
-    slices = np.uint64(p.slices[min(width - 1, len(p.slices) - 1)])
+def _stripes(docs: DataFrame, width: int, p: Phrases, shared) -> DataFrame:
+    """Stripes of the prefixes of `width - 1` words, as far as a task's texts give them.
+
+    From two words on `shared` has the bitmap of frequent phrases of a word less and the hot ones' hashes.
+    """
+    slices = np.uint64(p.slices)
 
     def build(batches):
         for part, data, offsets in text_blocks(batches, block=COUNTED_BYTES):
@@ -115,27 +121,30 @@ def _stripes(docs: DataFrame, width: int, p: Phrases, bitmap) -> DataFrame:
             pieces = _Pieces(data, offsets)
             at, whole = _runs(pieces.hashes, pieces.first, width)
             lang = codes[pieces.text[at]]
-            if bitmap is not None:
+            cut = np.ones(len(at), bool)
+            if shared is not None:
+                bitmap, hot = shared.value
                 place, shorter = _runs(pieces.hashes, pieces.first, width - 1)
-                often = _set_in(bitmap.value, mix(shorter ^ lang_hashes[codes[pieces.text[place]]]))
-                may = np.zeros(len(pieces.hashes) + 1, bool)
-                may[place[often]] = True
-                both = may[at] & may[at + 1]
+                shorter = mix(shorter ^ lang_hashes[codes[pieces.text[place]]])
+                is_often, is_hot = np.zeros((2, len(pieces.hashes) + 1), bool)
+                is_often[place[_set_in(bitmap, shorter)]] = True
+                is_hot[place[np.isin(shorter, hot)]] = True
+                both = is_often[at] & is_often[at + 1]
                 at, whole, lang = at[both], whole[both], lang[both]
-            if not len(at):
-                continue
-            yield _as_stripes(pieces, at, mix(whole ^ lang_hashes[lang]), lang, names, width, slices)
+                cut = is_hot[at]
+            if len(at):
+                slice_of = np.where(cut, (pieces.hashes[at + width - 1] >> np.uint64(7)) % slices, np.uint64(0))
+                yield _as_stripes(pieces, at, mix(whole ^ lang_hashes[lang]), lang, names, width, slice_of)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     return rows.mapInArrow(build, STRIPE)
 
 
-def _as_stripes(pieces: _Pieces, at, keys, lang, names, width: int, slices: np.uint64) -> pa.RecordBatch:
+def _as_stripes(pieces: _Pieces, at, keys, lang, names, width: int, slice_of) -> pa.RecordBatch:
     """Counts of the phrases at the words `at`, one row for each prefix and slice."""
     one, counts = _distinct(keys, pieces, at, width)
-    at, lang = at[one], lang[one]
+    at, lang, cut = at[one], lang[one], slice_of[one]
     last = at + width - 1
-    cut = (pieces.hashes[last] >> np.uint64(7)) % slices
     prefix = np.zeros(len(at), np.uint64)
     for k in range(width - 1):
         prefix = mix(prefix * np.uint64(0x100000001B3) + pieces.hashes[at + k])
@@ -144,7 +153,6 @@ def _as_stripes(pieces: _Pieces, at, keys, lang, names, width: int, slices: np.u
     fresh = np.ones(len(at), bool)
     fresh[1:] = (lang[1:] != lang[:-1]) | (prefix[1:] != prefix[:-1]) | (cut[1:] != cut[:-1])
     rows = np.flatnonzero(fresh)
-    lists = pa.array(np.append(rows, len(at)).astype(np.int32))
     begins = pieces.starts[at[rows]]
     prefix_ends = pieces.ends[last[rows] - 1] if width > 1 else begins
     return pa.RecordBatch.from_arrays(
@@ -152,13 +160,31 @@ def _as_stripes(pieces: _Pieces, at, keys, lang, names, width: int, slices: np.u
             pa.array(names, pa.string()).take(pa.array(lang[rows])),
             pieces.strings(begins, prefix_ends),
             pa.array(cut[rows].astype(np.int32)),
-            pa.ListArray.from_arrays(lists, pieces.strings(pieces.starts[last], pieces.ends[last])),
-            pa.ListArray.from_arrays(lists, pa.array(counts[order])),
+            _joined(pieces.strings(pieces.starts[last], pieces.ends[last]), np.append(rows, len(at))),
+            _packed(counts[order], np.append(rows, len(at))),
         ],
         ["lang", "prefix", "slice", "next", "n"],
     )
 
 
+def _joined(words: pa.Array, at: np.ndarray) -> pa.Array:
+    """The words from each place to the next one, with a space between."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), words), " ")
+
+
+def _packed(counts: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The counts from each place to the next one, as bytes."""
+    buffers = [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(counts.astype("<i8"))]
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, buffers)
+
+
+def _unpacked(rows: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Next words and counts of all rows of stripes, and how many each row has."""
+    data, offsets = text_arrays(rows.column(4))
+    words = pc.split_pattern(rows.column(3), " ").flatten()
+    return words, np.ascontiguousarray(data).view("<i8"), np.diff(offsets) // 8
+
+
 def _distinct(keys, pieces: _Pieces, at, width: int) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct phrase and how often it occurs; a second hash tells equal keys apart."""
     second = np.zeros(len(at), np.uint64)
@@ -200,21 +226,19 @@ def _merge_rows(rows: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch |
     differs = [pc.not_equal(rows.column(i).slice(1), rows.column(i).slice(0, count - 1)).to_numpy(False) for i in range(3)]
     fresh[1:] = np.logical_or.reduce(differs)
     group = np.cumsum(fresh) - 1
-    words, n = rows.column(3), rows.column(4)
-    sizes = np.diff(words.offsets.to_numpy())
-    entries = words.flatten().dictionary_encode()
+    words, n, sizes = _unpacked(rows)
+    entries = words.dictionary_encode()
     codes = (np.repeat(group, sizes).astype(np.int64) << 32) | entries.indices.to_numpy()
     keys, inverse = np.unique(codes, return_inverse=True)
     totals = np.zeros(len(keys), np.int64)
-    np.add.at(totals, inverse, n.flatten().to_numpy())
-    offsets = np.searchsorted(keys, np.arange(group[-1] + 2, dtype=np.int64) << 32).astype(np.int32)
+    np.add.at(totals, inverse, n)
+    at = np.searchsorted(keys, np.arange(group[-1] + 2, dtype=np.int64) << 32)
     one = pa.array(np.flatnonzero(fresh))
-    lists = pa.array(offsets)
     whole = pa.RecordBatch.from_arrays(
         [
             *(rows.column(i).take(one) for i in range(3)),
-            pa.ListArray.from_arrays(lists, entries.dictionary.take(pa.array(keys & 0xFFFFFFFF))),
-            pa.ListArray.from_arrays(lists, pa.array(totals)),
+            _joined(entries.dictionary.take(pa.array(keys & 0xFFFFFFFF)), at),
+            _packed(totals, at),
         ],
         rows.schema.names,
     )
@@ -226,36 +250,40 @@ def _merge_rows(rows: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch |
 def _entries(stripes: pa.RecordBatch, least: int):
     if not stripes.num_rows:
         return
-    words, n = stripes.column(3), stripes.column(4)
-    owner = np.repeat(np.arange(stripes.num_rows), np.diff(words.offsets.to_numpy()))
-    n = n.flatten().to_numpy()
+    words, n, sizes = _unpacked(stripes)
+    owner = np.repeat(np.arange(stripes.num_rows), sizes)
     totals = np.zeros(stripes.num_rows, np.int64)
     np.add.at(totals, owner, n)
     often = np.flatnonzero(n >= least)
     names = ["lang", "prefix", "next", "n"]
     rows = pa.array(owner[often])
-    found = [stripes.column(0).take(rows), stripes.column(1).take(rows), words.flatten().take(pa.array(often)), pa.array(n[often])]
+    found = [stripes.column(0).take(rows), stripes.column(1).take(rows), words.take(pa.array(often)), pa.array(n[often])]
     yield pa.RecordBatch.from_arrays(found, names)
     empty = pa.array([""] * stripes.num_rows)
     yield pa.RecordBatch.from_arrays([stripes.column(0), stripes.column(1), empty, pa.array(totals)], names)
 
 
-def _bitmap(phrases: DataFrame, width: int) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase), at most `MOST_BITS` of them, as bytes."""
-    wanted = max(1 << 16, phrases.count() * BITS_PER_PHRASE)
-    bits = min(MOST_BITS, 1 << int(wanted - 1).bit_length())
+def _hashed(phrases: DataFrame, width: int) -> DataFrame:
+    """`hash` of each (lang, phrase), as tasks that build stripes compute it."""
 
-    def places(batches):
+    def run(batches):
         for part, data, offsets in text_blocks(batches, "phrase"):
             codes, _, lang_hashes = _lang_codes(part.column(0))
             pieces = _Pieces(data, offsets)
             at, found = _runs(pieces.hashes, pieces.first, width)
-            found = mix(found ^ lang_hashes[codes[pieces.text[at]]]) & np.uint64(bits - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64) + 1)], ["place"])
+            found = mix(found ^ lang_hashes[codes[pieces.text[at]]])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["hash"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "hash long")
+
 
-    rows = phrases.select("lang", "phrase").mapInArrow(places, "place long")
-    segments = rows.groupBy(F.bitmap_bucket_number("place").alias("segment")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+def _bitmap(phrases: DataFrame, width: int) -> np.ndarray:
+    """Bits of the hashes of (lang, phrase), at most `MOST_BITS` of them, as bytes."""
+    wanted = max(1 << 16, phrases.count() * BITS_PER_PHRASE)
+    bits = min(MOST_BITS, 1 << int(wanted - 1).bit_length())
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1
+    segments = _hashed(phrases, width).groupBy(F.bitmap_bucket_number(place).alias("segment")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
     whole = np.zeros(bits // 8, np.uint8)
     for segment, part in segments.collect():  # at most MOST_BITS / 8 bytes
@@ -264,6 +292,12 @@ def _bitmap(phrases: DataFrame, width: int) -> np.ndarray:
     return whole
 
 
+def _hot(phrases: DataFrame, width: int, all_words: int) -> np.ndarray:
+    """Hashes of the phrases with more than one in `HOT_SHARE` of all words, at most as many."""
+    rows = _hashed(phrases.where(F.col("f") * HOT_SHARE > all_words), width).collect()
+    return np.array([row.hash for row in rows], np.int64).view(np.uint64)
+
+
 def _set_in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     place = (hashes & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
     return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
@@ -271,24 +305,26 @@ def _set_in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def count_phrases(docs: DataFrame, scratch: Scratch, p: Phrases = Phrases()) -> tuple[DataFrame, DataFrame]:
     """lang, words, prefix, next, phrase and f of every frequent phrase; and n of every language."""
-    levels, bitmap, totals = [], None, None
+    levels, shared = [], None
     for width in range(1, p.most_words + 1):
-        entries = scratch.put(f"entries-{width}", merged(_stripes(docs, width, p, bitmap), p.least_count))
+        entries = scratch.put(f"entries-{width}", merged(_stripes(docs, width, p, shared), p.least_count))
         if width == 1:
             totals = entries.where("next = ''").groupBy("lang").agg(F.sum("n").alias("n"))
+            totals = scratch.put("totals", totals)
+            all_words = totals.agg(F.sum("n")).first()[0] or 0
         phrase = F.col("next") if width == 1 else F.concat("prefix", F.lit(" "), "next")
         found = entries.where("next != ''").select(
             "lang", F.lit(width).alias("words"), "prefix", "next", phrase.alias("phrase"), F.col("n").alias("f")
         )
         levels.append(found)
         if width < p.most_words:
-            if bitmap is not None:
-                bitmap.unpersist()
-            bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(found, width))
+            if shared is not None:
+                shared.unpersist()
+            shared = docs.sparkSession.sparkContext.broadcast((_bitmap(found, width), _hot(found, width, all_words)))
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.union(level)
-    return scratch.put("phrases", whole), scratch.put("totals", totals)
+    return scratch.put("phrases", whole), totals
 
 
 def collocations(docs: DataFrame, scratch: Scratch, p: Phrases = Phrases()) -> DataFrame:

@@ -56,7 +56,7 @@ def test_bpe_takes_every_character_and_forgets(vocabulary, encode):
 
 def test_bpe_merges_a_lower_rank_that_a_merge_makes_first():
     # "ab" comes up first; "abc" has a lower rank than "ab" and must be merged before the next "ab".
-    ranks = [b"abc", *(bytes([c]) for c in b"abcd"), b"ab", b"ca", b"bcab"]
+    ranks = [b"abc", *(bytes([c]) for c in range(256)), b"ab", b"ca", b"bcab"]
     lines = "".join(f"{byte_bpe.base64.b64encode(token).decode()} {rank}\n" for rank, token in enumerate(ranks))
     vocabulary = byte_bpe.Vocabulary(lines, r"\S+")
     library = tiktoken.Encoding(
@@ -218,8 +218,9 @@ def test_phrases_equal_brute_force(spark, monkeypatch):
     assert mined(spark, docs, collocations.Phrases(least_count=12)) == best(docs, 12)
     assert mined(spark, docs, collocations.Phrases(least_count=12, per_lang=7)) == best(docs, 12, 7)
     monkeypatch.setattr(hot_keys, "HOT_SHARE", 3)
+    monkeypatch.setattr(collocations, "HOT_SHARE", 8)
     monkeypatch.setattr(collocations, "MOST_BITS", 8)  # a bitmap that is full loses nothing
-    assert mined(spark, docs, collocations.Phrases(least_count=12, slices=(2, 1))) == best(docs, 12)
+    assert mined(spark, docs, collocations.Phrases(least_count=12, slices=2)) == best(docs, 12)
 
 
 def test_phrases_of_an_empty_table(spark):
