@@ -46,7 +46,7 @@ def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per passage that a document shares with an earlier one."""
-    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
 
 
 def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

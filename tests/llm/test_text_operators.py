@@ -102,7 +102,7 @@ def test_near_duplicates_in_a_template_family_equal_brute_force(spark):
 
 
 def test_repeated_passages(spark, docs, none):
-    found = substring_dedup.repeated_spans(docs).collect()
+    found = substring_dedup.repeated_spans(docs, scratch(spark)).collect()
     assert {row.doc_id for row in found} >= {6, 7, 8, 10, 11, 12, 13} and not {0, 1, 3, 9, 14, 16} & {r.doc_id for r in found}
     cut = {row.doc_id: row for row in substring_dedup.dedupe_substrings(docs, scratch(spark)).collect()}
     passage = words(80, 2).split()
@@ -115,7 +115,7 @@ def test_passages_are_held_by_one_earlier_document(spark):
     text = words(200, 700).split()
     pieces = [" ".join(text[i : i + 15]) for i in range(0, 200, 5)]  # every chunk, but never 20 words together
     rows = [*enumerate(pieces), (100, " ".join(text)), (101, words(30, 701) + " " + " ".join(text[50:150]))]
-    found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), scratch(spark)).collect()
     assert [(r.doc_id, r.first_doc_id) for r in found] == [(101, 100)]
     assert 30 <= found[0].word <= 30 + 16 + 4 and 130 - 16 <= found[0].word + found[0].words <= 130
 
