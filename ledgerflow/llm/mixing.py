@@ -5,13 +5,16 @@ No target goes above a multiple of its source's words; the excess is reshared by
 gives as many complete epochs as its target holds. The rest of the target is a weighted sample
 without replacement: every document draws an exponential key divided by its quality weight, keys are
 sorted within the source, and documents are taken while the running sum of words fits the budget.
-The document that would go over it is left, and the largest ones not taken that still fit fill the
-gap, so a source never goes above its target and ends close to it.
+The document that would go over it is left, and what is not taken fills the gap, from the largest
+document that fits to the smallest, by key where sizes are equal. So a source never goes above its
+target, and what it lacks is less than any document not taken.
 
-The order is resolved from coarse to fine. Key ranges ("cells") are summed first; only the rows of
-the one cell per source in which the budget ends are sorted. So no source, however large, is sorted
-in one task, and texts aren't shuffled: a row is taken or not by comparing its own key with its
-source's cut. Rows with one id, source and weight share a key and are taken together.
+The order is resolved from coarse to fine. Key ranges ("cells") are summed first, then those within the
+one cell per source in which the budget ends; only the rows of one of these, a 4096th of a 4096th of a
+source, are sorted. The gap is filled from counts by size: one row for each source and size. So no source,
+however large, is sorted in one task, and texts aren't shuffled: a row is taken by comparing its own key
+with its source's cut and with the few keys that fill the gap. Rows with one id, source and weight share a
+key and are taken together.
 
 Null texts have no words. Documents without words cost nothing and come with the epochs. Sources
 without words have target 0. A null source is a source of its own, a null id is the empty id. An
@@ -23,8 +26,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.llm.quality_rules import repeated_lines
 from ledgerflow.llm.tables import Scratch, measure_texts
@@ -41,8 +46,6 @@ class Mix:
     #: Weight lost by a text all of whose lines repeat.
     repeat_loss: float = 0.75
     cells: int = 4096
-    #: Documents that fill the gap below a budget, each the largest one left that fits.
-    fills: int = 2
     seed: str = "mix-1"
 
 
@@ -58,7 +61,7 @@ def _size_and_weight(data: np.ndarray, offsets: np.ndarray, loss: float) -> tupl
 
 
 def with_keys(docs: DataFrame, p: Mix = Mix(), keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """The columns `keep` of `docs`, and each document's size, key and cell."""
+    """The columns `keep` of `docs`, and each document's size, key, cell and cell within the cell."""
     loss = p.repeat_loss
 
     def measure(data, offsets):
@@ -70,8 +73,9 @@ def with_keys(docs: DataFrame, p: Mix = Mix(), keep: tuple[str, ...] = ("doc_id"
     columns = tuple(dict.fromkeys([*keep, "doc_id"]))
     measured = measure_texts(docs, measure, "size long, weight double", keep=columns)
     found = measured.withColumn("key", -F.log(uniform) / F.col("weight"))
-    cell = F.floor(p.cells * (1 - F.exp(-F.col("key")))).cast("int")
-    return found.select(*keep, "size", "key", cell.alias("cell"))
+    place = p.cells * (1 - F.exp(-F.col("key")))
+    cell, inner = F.floor(place), F.floor(p.cells * (place - F.floor(place)))
+    return found.select(*keep, "size", "key", cell.cast("int").alias("cell"), inner.cast("int").alias("inner"))
 
 
 def targets(sizes: DataFrame, p: Mix = Mix()) -> DataFrame:
@@ -102,11 +106,10 @@ def targets(sizes: DataFrame, p: Mix = Mix()) -> DataFrame:
     return met.select("source", "source_size", F.when(F.col("limited"), F.col("limit")).otherwise(shared).alias("target"))
 
 
-def quotas(keyed: DataFrame, scratch: Scratch, p: Mix = Mix()) -> DataFrame:
-    """One row per source: source_size, target, epochs, and which keys the fractional part takes.
+def quotas(keyed: DataFrame, scratch: Scratch, p: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
+    """One row per source: source_size, target, epochs and which keys come first; and the keys that fill gaps.
 
-    `keyed` is a stored table of source, size, key and cell of every document. Each step's result is
-    one row per source, or per source and cell.
+    `keyed` is a stored table of source, size, key, cell and inner of every document.
     """
     sizes = scratch.put("sizes", keyed.groupBy("source").agg(F.sum("size").alias("source_size")))
     # Without words there is nothing to repeat.
@@ -116,20 +119,14 @@ def quotas(keyed: DataFrame, scratch: Scratch, p: Mix = Mix()) -> DataFrame:
     ).otherwise(0)
     plan = targets(sizes, p).withColumn("epochs", epochs.cast("long"))
     plan = scratch.put("targets", plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")))
-    budgets = plan.select(F.col("source").alias("s"), "budget")
     same = F.col("source").eqNullSafe(F.col("s"))
 
-    cells = keyed.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
-    upto = Window.partitionBy("source").orderBy("cell")
-    cells = cells.withColumn("start", F.sum("cell_size").over(upto) - F.col("cell_size"))
-    ends = (
-        cells.join(budgets, same)
-        .where((F.col("start") <= F.col("budget")) & (F.col("budget") < F.col("start") + F.col("cell_size")))
-        .select("s", F.col("cell").alias("end_cell"), "start", "budget")
-    )
-    ends = scratch.put("ends", ends)
-    inside = keyed.join(ends, same & (F.col("cell") == F.col("end_cell"))).groupBy("s", "start", "budget", "key")
-    inside = inside.agg(F.sum("size").alias("size"))
+    ends = plan.select(F.col("source").alias("s"), F.lit(0).cast("long").alias("start"), "budget")
+    ends = scratch.put("ends-cell", _end_cells(keyed, ends, same, "cell"))
+    inside = keyed.join(ends.select(F.col("s").alias("t"), F.col("end_cell").alias("c")), _same("source", "t") & (F.col("cell") == F.col("c")))
+    ends = scratch.put("ends", _end_cells(inside.drop("t", "c"), ends, same, "inner"))
+    within = (F.col("cell") == F.col("end_cell")) & (F.col("inner") == F.col("end_inner"))
+    inside = keyed.join(ends, same & within).groupBy("s", "start", "budget", "key").agg(F.sum("size").alias("size"))
     running = F.sum("size").over(Window.partitionBy("s").orderBy("key"))
     reached = (
         inside.withColumn("upto", F.col("start") + running)
@@ -137,56 +134,85 @@ def quotas(keyed: DataFrame, scratch: Scratch, p: Mix = Mix()) -> DataFrame:
         .groupBy(F.col("s").alias("t"))
         .agg(F.max("key").alias("cut"), F.max("upto").alias("reached"))
     )
-    cuts = ends.join(reached, F.col("s").eqNullSafe(F.col("t")), "left").select(
+    cuts = ends.join(reached, _same("s", "t"), "left").select(
         "s",
         "end_cell",
+        "end_inner",
         F.coalesce("cut", F.lit(-1.0)).alias("cut"),
         (F.col("budget") - F.coalesce("reached", "start")).alias("room"),
-        F.array().cast("array<double>").alias("fills"),
-    )
-    cuts = scratch.put("cuts-0", cuts)
-    for k in range(p.fills):
-        left = ~taken_by(F.col("end_cell"), F.col("cut")) & ~F.array_contains("fills", F.col("key"))
-        fits = keyed.join(cuts, same).where((F.col("size") > 0) & (F.col("size") <= F.col("room")) & left)
-        together = fits.groupBy(F.col("s").alias("t"), "room", "key").agg(F.sum("size").alias("size"))
-        best = F.max(F.struct("size", (-F.col("key")).alias("key"))).alias("best")
-        best = together.where(F.col("size") <= F.col("room")).groupBy("t").agg(best)
-        found = cuts.join(best, F.col("s").eqNullSafe(F.col("t")), "left")
-        more = F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.array_append("fills", -F.col("best.key")))
-        room = F.col("room") - F.coalesce("best.size", F.lit(0))
-        cuts = scratch.put(f"cuts-{k + 1}", found.select("s", "end_cell", "cut", room.alias("room"), more.alias("fills")))
-    return plan.join(cuts, same, "left").select(
-        "source", "source_size", "target", "epochs", "end_cell", "cut", "fills"
     )
+    cuts = scratch.put("cuts", cuts)
+    plan = plan.join(cuts, same, "left").select("source", "source_size", "target", "epochs", "end_cell", "end_inner", "cut")
+    return plan, scratch.put("fills", _fills(keyed, cuts, scratch))
+
+
+def _same(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
+
+
+def _end_cells(keyed: DataFrame, ends: DataFrame, same: Column, cell: str) -> DataFrame:
+    """`ends` with the cell of each source in which its budget ends, and the words before it as `start`."""
+    cells = keyed.groupBy("source", cell).agg(F.sum("size").alias("cell_size"))
+    upto = Window.partitionBy("source").orderBy(cell)
+    cells = cells.withColumn("before", F.sum("cell_size").over(upto) - F.col("cell_size"))
+    begin = F.col("start") + F.col("before")
+    found = cells.join(ends, same).where((begin <= F.col("budget")) & (F.col("budget") < begin + F.col("cell_size")))
+    return found.select(*(c for c in ends.columns if c != "start"), begin.alias("start"), F.col(cell).alias(f"end_{cell}"))
 
 
-def taken_by(end_cell: Column, cut: Column) -> Column:
-    return (F.col("cell") < end_cell) | ((F.col("cell") == end_cell) & (F.col("key") <= cut))
+def _fills(keyed: DataFrame, cuts: DataFrame, scratch: Scratch) -> DataFrame:
+    """source and key of what fills the room below each budget: the largest that fits, again and again."""
+    rest = keyed.where("size > 0").join(cuts, _same("source", "s")).where(~taken_by())
+    units = rest.groupBy("s", "room", "key").agg(F.sum("size").alias("size")).where("size <= room")
+    units = scratch.put("units", units)
+    by_size = units.groupBy("s", "room", "size").agg(F.count("*").alias("n"))
 
+    def pick(rows: pd.DataFrame) -> pd.DataFrame:
+        room, picked = rows["room"].iloc[0], []
+        for size, n in rows.sort_values("size", ascending=False)[["size", "n"]].itertuples(index=False):
+            picked.append(min(n, int(room // size)))
+            room -= picked[-1] * size
+        rows = rows.sort_values("size", ascending=False).assign(picked=picked)
+        return rows.loc[rows["picked"] > 0, ["s", "size", "picked"]]
 
-def _with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
+    # At most one row per size up to the room, in one task per source.
+    chosen = by_size.groupBy("s").applyInPandas(pick, T.StructType([cuts.schema["s"], *T._parse_datatype_string("size long, picked long").fields]))
+    chosen = chosen.withColumnsRenamed({"s": "t", "size": "chosen_size"})
+    first = units.join(chosen, _same("s", "t") & (F.col("size") == F.col("chosen_size")))
+    part = F.pmod(F.xxhash64("key"), F.lit(64))  # the first of each part, then the first of all
+    for keys in (["s", "size", part], ["s", "size"]):
+        first = first.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("key"))).where("place <= picked")
+    return first.select(F.col("s").alias("fill_source"), F.col("key").alias("fill_key"))
+
+
+def taken_by() -> Column:
+    """Whether a row's key comes before its source's cut."""
+    at_cut = (F.col("inner") < F.col("end_inner")) | ((F.col("inner") == F.col("end_inner")) & (F.col("key") <= F.col("cut")))
+    return (F.col("cell") < F.col("end_cell")) | ((F.col("cell") == F.col("end_cell")) & at_cut)
+
+
+def _with_copies(keyed: DataFrame, plan: DataFrame, fills: DataFrame) -> DataFrame:
     """`keyed` with how often each row is taken, and its source's size and target."""
-    plan = plan.withColumnRenamed("source", "_source")
-    chosen = F.coalesce(taken_by(F.col("end_cell"), F.col("cut")), F.lit(False)) | F.coalesce(
-        F.array_contains("fills", F.col("key")), F.lit(False)
-    )
-    joined = keyed.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    joined = keyed.join(plan.withColumnRenamed("source", "_source"), _same("source", "_source"))
+    joined = joined.join(fills, _same("source", "fill_source") & (F.col("key") == F.col("fill_key")), "left")
+    chosen = F.coalesce(taken_by(), F.lit(False)) | F.col("fill_key").isNotNull()
     return joined.withColumn("copies", F.col("epochs") + chosen.cast("long"))
 
 
 def take_counts(docs: DataFrame, scratch: Scratch, p: Mix = Mix()) -> DataFrame:
     """doc_id, source, size, source_size, target and copies of each document."""
     keyed = scratch.put("keyed", with_keys(docs, p))
-    plan = scratch.put("plan", quotas(keyed, scratch, p))
-    return _with_copies(keyed, plan).select("doc_id", "source", "size", "source_size", "target", "copies")
+    plan, fills = quotas(keyed, scratch, p)
+    return _with_copies(keyed, scratch.put("plan", plan), fills).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, scratch: Scratch, p: Mix = Mix()) -> DataFrame:
     """The mix itself: every row of `docs` as often as it is taken, with its columns."""
     keyed = scratch.put("keyed", with_keys(docs, p, keep=("source",)))
-    plan = scratch.put("plan", quotas(keyed, scratch, p))
-    scratch.drop("keyed")
+    plan, fills = quotas(keyed, scratch, p)
+    plan = scratch.put("plan", plan)
+    scratch.drop("keyed", "units")
     whole = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
     rows = with_keys(whole, p, keep=("source", "row"))
     repeated = F.explode(F.array_repeat("row", F.col("copies").cast("int")))
-    return _with_copies(rows, plan).select(repeated.alias("row")).select("row.*")
+    return _with_copies(rows, plan, fills).select(repeated.alias("row")).select("row.*")

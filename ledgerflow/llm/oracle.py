@@ -5,7 +5,7 @@ from __future__ import annotations
 from ledgerflow.llm.reply_trees import ESCAPE
 
 _MIX = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
          (CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
@@ -45,21 +45,19 @@ WITH sized AS (
   SELECT *, upto <= budget AND budget > 0 AS chosen,
          budget - coalesce(max(upto) FILTER (upto <= budget) OVER (PARTITION BY source), 0) AS gap
   FROM running
-), fill_1 AS (
-  SELECT *, upto > budget AND together BETWEEN 1 AND gap AND 1 = row_number() OVER (PARTITION BY source
-    ORDER BY CASE WHEN upto > budget AND together BETWEEN 1 AND gap THEN together ELSE 0 END DESC, k) AS first_fill
-  FROM gaps
-), rooms AS (
-  SELECT *, gap - coalesce(max(together) FILTER (first_fill) OVER (PARTITION BY source), 0) AS room FROM fill_1
-), fill_2 AS (
-  SELECT *, upto > budget AND NOT first_fill AND together BETWEEN 1 AND room AND 1 = row_number() OVER (PARTITION BY source
-    ORDER BY CASE WHEN upto > budget AND NOT first_fill AND together BETWEEN 1 AND room THEN together ELSE 0 END DESC, k)
-    AS second_fill
-  FROM rooms
+), units AS (
+  SELECT source, k, any_value(together) AS words, any_value(gap) AS gap,
+         row_number() OVER (PARTITION BY source ORDER BY any_value(together) DESC, k) AS i
+  FROM gaps WHERE NOT chosen AND together BETWEEN 1 AND gap GROUP BY source, k
+), fills AS (
+  SELECT source, 0::BIGINT AS i, any_value(gap) AS room, NULL::DOUBLE AS k FROM units GROUP BY source
+  UNION ALL
+  SELECT u.source, u.i, CASE WHEN words <= room THEN room - words ELSE room END, CASE WHEN words <= room THEN u.k END
+  FROM fills f JOIN units u ON u.source IS NOT DISTINCT FROM f.source AND u.i = f.i + 1
 )
-SELECT doc_id, size, source_size, target,
-       CAST(size * (epochs + CASE WHEN chosen OR first_fill OR second_fill THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM fill_2
+SELECT g.doc_id, g.size, source_size, target,
+       CAST(g.size * (epochs + CASE WHEN chosen OR f.k IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM gaps g LEFT JOIN (SELECT source, k FROM fills WHERE k IS NOT NULL) f ON f.source IS NOT DISTINCT FROM g.source AND f.k = g.k
 """
 
 _CHATS = rf"""
