@@ -5,13 +5,17 @@ multinomials over the hash buckets are estimated: one from all documents, one fr
 text's score is the mean over its n-grams of log(p_target / p_corpus), so length doesn't matter. A
 text is kept if it breaks no fixed limit and scores at least the threshold.
 
-Corpus counts cover every n-gram of every document. Tasks send bucket counts, not n-grams, so what
-is shuffled and collected is bounded by the bucket count. Trusted texts are a bounded sample of the
-labelled ones.
+The threshold comes from the data: it is a low quantile of the scores of trusted texts that break no
+limit, each scored without its own n-grams in the target counts. So it moves with the ratios, which
+shrink as the buckets fill up. It is a multiple of a ten-thousandth, taken from counts of all trusted
+scores, and so the same in every run.
+
+All counts cover every n-gram of every document, trusted ones included. Tasks send bucket counts, not
+n-grams, so what is shuffled, collected and broadcast is bounded by the bucket count.
 
 Null and empty texts have no words and break the word limit; a text of one word has one n-gram.
-Repeated rows are judged alike. Without any trusted text, or over an empty table, all ratios are
-zero and only the limits decide. Columns other than those named are ignored.
+Repeated rows are judged alike. Without any trusted text that passes the limits, or over an empty
+table, only the limits decide. Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.tables import labelled_texts, measure_texts
+from ledgerflow.llm.tables import measure_texts
 from ledgerflow.llm.words import LOWER, owners, span_hashes, text_blocks, text_sums, windows, word_spans
 
 SYMBOLS = np.zeros(256, bool)
@@ -36,13 +40,15 @@ class Rules:
     #: Highest share of words, in percent, that lie in repeated windows.
     max_repeat_percent: int = 20
     window: int = 5
-    bits: int = 16
+    bits: int = 20
     #: Counts added to every bucket of both multinomials.
-    smoothing: float = 1.0
-    #: Lowest mean log ratio of a kept text.
-    threshold: float = -0.45
-    #: Most trusted documents counted.
-    most_trusted: int = 12_000
+    smoothing: float = 0.1
+    #: Share of trusted texts that would score below the threshold.
+    quantile: float = 0.01
+
+
+#: Steps of a score in which the threshold is found; scores lie within +-50, so there are at most a million.
+STEPS = 10_000
 
 
 def shape(data: np.ndarray, offsets: np.ndarray, window: int = 5) -> dict[str, np.ndarray]:
@@ -134,10 +140,43 @@ def log_ratios(target: np.ndarray, corpus: np.ndarray, smoothing: float) -> np.n
     return (np.log(p / p.sum()) - np.log(q / q.sum())).astype(np.float32)
 
 
+def _base_failed(n_words, n_repeat_words, rules: Rules):
+    """Of columns or of arrays."""
+    return (n_words < rules.min_words) | (100 * n_repeat_words > rules.max_repeat_percent * n_words)
+
+
+def threshold(trusted: DataFrame, target: np.ndarray, corpus: np.ndarray, rules: Rules) -> float:
+    """The quantile of trusted scores, each without the text's own n-grams in `target`."""
+    shared = trusted.sparkSession.sparkContext.broadcast((target, corpus))
+    bits, smoothing, size = rules.bits, rules.smoothing, 1 << rules.bits
+
+    def score(batches):
+        target, corpus = shared.value
+        below = np.log(corpus + smoothing) - np.log(corpus.sum() + smoothing * size)
+        for _, data, offsets in text_blocks(batches):
+            found = shape(data, offsets, rules.window)
+            buckets, text = ngram_buckets(data, offsets, bits)
+            keys, n = np.unique(text.astype(np.int64) << bits | buckets, return_counts=True)
+            buckets, text = keys & (size - 1), keys >> bits
+            own = np.bincount(text, weights=n, minlength=len(offsets) - 1)
+            above = np.log(target[buckets] - n + smoothing) - np.log(target.sum() - own + smoothing * size)[text]
+            total = np.bincount(text, weights=n * (above - below[buckets]), minlength=len(own))
+            passed = ~_base_failed(found["n_words"], found["n_repeat_words"], rules)
+            steps = np.floor(total[passed] / np.maximum(1, own[passed]) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(steps)], ["step"])
+
+    steps = trusted.select("text").mapInArrow(score, "step long").groupBy("step").count().orderBy("step").toArrow()
+    upto = np.cumsum(steps["count"].to_numpy())
+    if not len(upto):
+        return -np.inf
+    return steps["step"][int(np.searchsorted(upto, rules.quantile * upto[-1], side="right"))].as_py() / STEPS
+
+
 def judge(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """doc_id, the five counts, score, base_failed and kept of each document."""
-    ratios = log_ratios(bucket_counts(trusted, rules.bits), bucket_counts(docs, rules.bits), rules.smoothing)
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    target, corpus = bucket_counts(trusted, rules.bits), bucket_counts(docs, rules.bits)
+    lowest = threshold(trusted, target, corpus, rules)
+    shared = docs.sparkSession.sparkContext.broadcast(log_ratios(target, corpus, rules.smoothing))
     window, bits = rules.window, rules.bits
 
     def measure(data, offsets):
@@ -148,16 +187,14 @@ def judge(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> DataFr
         return found | {"score": total / np.maximum(1, np.bincount(text, minlength=count))}
 
     counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    failed = (F.col("n_words") < rules.min_words) | (
-        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
-    )
     return (
         measure_texts(docs, measure, f"{counts}, score double")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= rules.threshold))
+        .withColumn("base_failed", _base_failed(F.col("n_words"), F.col("n_repeat_words"), rules))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(float(lowest))))
     )
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Texts labelled as good, from a bounded sample of labelled rows."""
-    return labelled_texts(docs, labels.where(F.col("quality") == 1), "quality", rules.most_trusted).select("text")
+def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All texts labelled as good. Spark broadcasts the labels if they are small, and shuffles both sides if not."""
+    good = labels.where("quality = 1").select("doc_id")
+    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text")
