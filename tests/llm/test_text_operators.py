@@ -59,8 +59,8 @@ def test_one_query_per_operator_and_sql_agrees(spark, sf_dir):
         if name in oracle_sql():
             found = queries()[name](spark, sf_dir).toPandas()
             expected = connection.execute(oracle_sql()[name]).df()[list(found.columns)]
-            key = found.columns[0]
-            left, right = (x.sort_values(key).reset_index(drop=True) for x in (found, expected))
+            key = list(found.columns)
+            left, right = (x.sort_values(key).reset_index(drop=True).fillna(-1) for x in (found, expected))
             assert len(left) == len(right) and all((left[c] == right[c]).all() for c in left.columns), name
 
 
@@ -70,6 +70,10 @@ def test_mix(spark, docs, none, rows):
     taken = (found["size"] * found.copies).groupby(found.source.fillna("~")).sum()
     target = found.groupby(found.source.fillna("~")).target.first()
     assert (taken <= target + 1e-6).all()
+    for source, left in found[(found["size"] > 0) & (found.copies < 2)].groupby(found.source.fillna("~")):
+        least = left.copies.min()  # what isn't taken beyond the complete epochs doesn't fit
+        fits = left[left.copies == least].groupby("doc_id", dropna=False)["size"].sum()
+        assert target[source] - taken[source] < fits.min(), source
     mixed = mixing.mix(docs, scratch(spark))
     assert mixed.columns == docs.columns and mixed.count() == found.copies.sum()
     assert mixing.mix(none, scratch(spark)).count() == 0
