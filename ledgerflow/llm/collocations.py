@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.hot_keys import HOT_SHARE, join_facts
-from ledgerflow.llm.tables import Scratch
+from ledgerflow.llm.tables import Scratch, hash_bitmap, in_bitmap
 from ledgerflow.llm.words import LOWER, give_back, mix, owners, span_hashes, text_arrays, text_blocks, windows, word_spans
 
 BREAKS = np.zeros(256, bool)
@@ -44,8 +44,7 @@ IN_PHRASE_WORD[[0x20, 0x09]] = False
 
 #: Text bytes that a task counts at a time.
 COUNTED_BYTES = 6 << 20
-#: Bits of a bitmap for each phrase in it, and most bits of one.
-BITS_PER_PHRASE = 16
+#: Most bits of a bitmap.
 MOST_BITS = 1 << 27
 #: The next words, joined by spaces, and their counts as 64-bit integers.
 STRIPE = "lang string, prefix string, slice int, next string, n binary"
@@ -127,7 +126,7 @@ def _stripes(docs: DataFrame, width: int, p: Phrases, shared) -> DataFrame:
                 place, shorter = _runs(pieces.hashes, pieces.first, width - 1)
                 shorter = mix(shorter ^ lang_hashes[codes[pieces.text[place]]])
                 is_often, is_hot = np.zeros((2, len(pieces.hashes) + 1), bool)
-                is_often[place[_set_in(bitmap, shorter)]] = True
+                is_often[place[in_bitmap(bitmap, shorter)]] = True
                 is_hot[place[np.isin(shorter, hot)]] = True
                 both = is_often[at] & is_often[at + 1]
                 at, whole, lang = at[both], whole[both], lang[both]
@@ -277,32 +276,12 @@ def _hashed(phrases: DataFrame, width: int) -> DataFrame:
     return phrases.select("lang", "phrase").mapInArrow(run, "hash long")
 
 
-def _bitmap(phrases: DataFrame, width: int) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase), at most `MOST_BITS` of them, as bytes."""
-    wanted = max(1 << 16, phrases.count() * BITS_PER_PHRASE)
-    bits = min(MOST_BITS, 1 << int(wanted - 1).bit_length())
-    place = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1
-    segments = _hashed(phrases, width).groupBy(F.bitmap_bucket_number(place).alias("segment")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    )
-    whole = np.zeros(bits // 8, np.uint8)
-    for segment, part in segments.collect():  # at most MOST_BITS / 8 bytes
-        begin = (segment - 1) * 4096
-        whole[begin : begin + 4096] = np.frombuffer(bytes(part), np.uint8)[: len(whole) - begin]
-    return whole
-
-
 def _hot(phrases: DataFrame, width: int, all_words: int) -> np.ndarray:
     """Hashes of the phrases with more than one in `HOT_SHARE` of all words, at most as many."""
     rows = _hashed(phrases.where(F.col("f") * HOT_SHARE > all_words), width).collect()
     return np.array([row.hash for row in rows], np.int64).view(np.uint64)
 
 
-def _set_in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = (hashes & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
-    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
-
-
 def count_phrases(docs: DataFrame, scratch: Scratch, p: Phrases = Phrases()) -> tuple[DataFrame, DataFrame]:
     """lang, words, prefix, next, phrase and f of every frequent phrase; and n of every language."""
     levels, shared = [], None
@@ -320,7 +299,7 @@ def count_phrases(docs: DataFrame, scratch: Scratch, p: Phrases = Phrases()) ->
         if width < p.most_words:
             if shared is not None:
                 shared.unpersist()
-            shared = docs.sparkSession.sparkContext.broadcast((_bitmap(found, width), _hot(found, width, all_words)))
+            shared = docs.sparkSession.sparkContext.broadcast((hash_bitmap(_hashed(found, width), MOST_BITS), _hot(found, width, all_words)))
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.union(level)

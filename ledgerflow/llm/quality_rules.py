@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.tables import measure_texts
+from ledgerflow.llm.tables import Scratch, measure_texts, rows_named
 from ledgerflow.llm.words import LOWER, owners, span_hashes, text_blocks, text_sums, windows, word_spans
 
 SYMBOLS = np.zeros(256, bool)
@@ -40,7 +40,7 @@ class Rules:
     #: Highest share of words, in percent, that lie in repeated windows.
     max_repeat_percent: int = 20
     window: int = 5
-    bits: int = 20
+    bits: int = 18
     #: Counts added to every bucket of both multinomials.
     smoothing: float = 0.1
     #: Share of trusted texts that would score below the threshold.
@@ -194,7 +194,7 @@ def judge(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> DataFr
     )
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All texts labelled as good. Spark broadcasts the labels if they are small, and shuffles both sides if not."""
+def trusted_texts(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """All texts labelled as good, stored, as they are read twice."""
     good = labels.where("quality = 1").select("doc_id")
-    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text")
+    return scratch.put("trusted", rows_named(docs.select("doc_id", "text"), good, "doc_id").select("text"))

@@ -103,7 +103,7 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    trusted = quality_rules.trusted_texts(docs, table(spark, sf_dir, "labels"))
+    trusted = quality_rules.trusted_texts(docs, table(spark, sf_dir, "labels"), Scratch(spark, "op10"))
     return quality_rules.judge(docs, trusted)
 
 

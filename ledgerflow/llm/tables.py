@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bits of a bitmap that is broadcast: at most 16 MiB.
+MOST_BITS = 1 << 27
+
+
 class Scratch:
     """Parquet tables of one run in the shared folder; a written table cuts the plan that made it.
 
@@ -80,6 +84,39 @@ def filter_texts(docs: DataFrame, keeps: Callable[[np.ndarray, np.ndarray], np.n
     return docs.mapInArrow(run, docs.schema)
 
 
+def hash_bitmap(hashes: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
+    """Bits of the column `hash`, 16 or more for each row as far as `most_bits` allow, as bytes on the driver."""
+    wanted = max(1 << 16, hashes.count() * 16)
+    bits = min(most_bits, 1 << int(wanted - 1).bit_length())
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1
+    segments = hashes.groupBy(F.bitmap_bucket_number(place).alias("segment")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    whole = np.zeros(bits // 8, np.uint8)
+    for segment, part in segments.collect():
+        begin = (segment - 1) * 4096
+        whole[begin : begin + 4096] = np.frombuffer(bytes(part), np.uint8)[: len(whole) - begin]
+    return whole
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = (hashes.astype(np.uint64) & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def rows_named(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in `names`. A bitmap of bounded size leaves out most others before any shuffle."""
+    hashed = F.xxhash64(key).alias("hash")
+    shared = rows.sparkSession.sparkContext.broadcast(hash_bitmap(names.select(hashed)))
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column(0).to_numpy())))
+
+    hashed_rows = rows.select(hashed, F.struct(*rows.columns).alias("row"))
+    return hashed_rows.mapInArrow(keep, hashed_rows.schema).select("row.*").join(names, key, "left_semi")
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no classifier learns from: crc32 of the id's text leaves remainder 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
