@@ -468,6 +468,37 @@ SELECT l_returnflag, l_linestatus, quarantine_rate, duplicate_rate,
                  CASE WHEN l_linestatus = 'O' THEN 'data_quality_assertions_failed' END) AS warnings
 FROM rates"""
 
+_QUARANTINE_LOG = _STORED_QUARANTINE.split("SELECT sha256(")[0] + """SELECT sha256(concat_ws(chr(31), raw_payload,
+       array_to_string(errors, chr(31)))) AS quarantine_id, count(*) AS attempts, max(batch_id) AS latest_batch
+FROM identified GROUP BY ALL"""
+
+_SEEN = "CASE batch_id WHEN 'batch-1' THEN TIMESTAMP '2024-01-25' ELSE TIMESTAMP '2024-02-01' END"
+_GROUP_HISTORY = f"""{CSV_BATCHES}, {_keyed("valid_1", "keyed_1")}, {_keyed("merged", "keyed_2")},
+known AS (
+  SELECT natural_key_hash, CAST(transaction_date AS DATE) AS event_date, count(*) AS n FROM keyed_1
+  GROUP BY ALL HAVING count(*) > 1),
+again AS (
+  SELECT natural_key_hash, CAST(transaction_date AS DATE) AS event_date, count(*) AS n, min({_SEEN}) AS f, max({_SEEN}) AS l
+  FROM keyed_2 WHERE CAST(transaction_date AS DATE) IN (SELECT CAST(transaction_date AS DATE) FROM valid_2)
+  GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT natural_key_hash, event_date, coalesce(again.n, known.n) AS group_rows,
+       CASE WHEN known.n IS NULL THEN f ELSE TIMESTAMP '2024-01-25' END AS first_seen,
+       coalesce(l, TIMESTAMP '2024-01-25') AS last_seen
+FROM known FULL JOIN again USING (natural_key_hash, event_date)"""
+
+_CORRECTED = "status = 'failed' AND transaction_id NOT LIKE 'TXN-R%'"
+_STORED_FEED = f"WITH {_CSV_FEED}, {_checked()}, {_valid()}, {_keyed()}, {_ranked()}"
+_SILVER_CHANGES = f"""{_STORED_FEED},
+corrected AS (
+  SELECT * REPLACE (CASE WHEN {_CORRECTED} THEN transaction_date + INTERVAL 1 DAY ELSE transaction_date END AS transaction_date,
+                    CASE WHEN {_CORRECTED} THEN 'completed' ELSE status END AS status) FROM valid),
+{_keyed("corrected", "keyed_2")}, {_ranked("keyed_2", "bronze_2")},
+before AS (SELECT {BUSINESS} FROM bronze WHERE NOT is_duplicate),
+after AS (SELECT {BUSINESS} FROM bronze_2 WHERE NOT is_duplicate)
+SELECT 'removed' AS change, * FROM before ANTI JOIN after USING (transaction_id)
+UNION ALL SELECT 'inserted', * FROM after ANTI JOIN before USING (transaction_id)
+UNION ALL SELECT 'changed', * FROM (SELECT * FROM after EXCEPT SELECT * FROM before) SEMI JOIN before USING (transaction_id)"""
+
 _LINES_REPEATED = "FROM lineitem GROUP BY l_orderkey, l_linenumber"
 _MERGED_COLUMNS = "transaction_id, transaction_date, batch_id, duplicate_rank, is_duplicate"
 
@@ -513,6 +544,13 @@ SELECT status, 'csv_fallback' AS resolved_source, count(*) AS records_read FROM
 WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-20' GROUP BY status""",
     "landing_append": f"""{VALID} SELECT transaction_type, count(*) AS records,
        (SELECT count(*) FROM valid) AS appended FROM valid GROUP BY transaction_type""",
+    "landing_pruned_scan": f"""{CHECKED} SELECT transaction_id, transaction_date FROM checked
+WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-20 12:00:00'""",
+    "quarantine_log": _QUARANTINE_LOG,
+    "dup_group_history": _GROUP_HISTORY,
+    "moved_ids_by_index": f"""{_STORED_FEED} SELECT transaction_id, CAST(transaction_date AS DATE) AS stored_date,
+       CAST(transaction_date + INTERVAL 1 DAY AS DATE) AS event_date FROM valid WHERE {_CORRECTED}""",
+    "silver_changes": _SILVER_CHANGES,
     "watermark_scan": f"""{CHECKED} SELECT transaction_id, transaction_date FROM checked
 WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-20 12:00:00'""",
     "effective_watermark": f"""{BATCHES} SELECT {_ISO.format("watermark")} AS watermark,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,8 +70,10 @@ from ledgerflow.operators.validate import (
     with_audit_columns,
 )
 from ledgerflow.operators.watermark import advance_watermark, lookback, rows_since
-from ledgerflow.plans.ingest import run_ingestion
+from ledgerflow.operators.history import match_ids, moved_ids
+from ledgerflow.plans.ingest import read_log, run_ingestion, stored_dates
 from ledgerflow.plans.run import prove_incremental, run_pipeline, run_transform
+from ledgerflow.plans.run import silver_changes as changes_of_silver
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import TableStore
 from ledgerflow.schema import (
@@ -82,12 +85,14 @@ from ledgerflow.schema import (
     FIELDS,
     GOLD,
     GOLD_COMPARED,
+    GROUP_HISTORY,
     MONEY,
     QUARANTINE,
     default_contract,
 )
 from ledgerflow.session import scratch_path, write_json_report, write_text
 from ledgerflow.sources.csv_files import as_raw_records, normalize_columns, read_csv
+from ledgerflow.sources.dated_landing import land_by_date, read_landed
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.json_records import json_records
 from ledgerflow.sources.landing import append_records
@@ -293,6 +298,16 @@ def _as_text() -> list:
     return [typed.get(name, F.col(name)).alias(name) for name in FIELDS]
 
 
+@query
+def landing_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches landed by date, then the dates from a watermark on."""
+    path = scratch_path(spark, "dated-landing")
+    raw = raw_feed(spark, sf_dir)
+    for batch, part in (("credits", F.col("transaction_type") == "credit"), ("others", F.col("transaction_type") != "credit")):
+        land_by_date(raw.filter(part), path, batch)
+    return read_landed(spark, path, "2024-01-20T12:00:00Z").select("transaction_id", "transaction_date")
+
+
 # --- watermark --------------------------------------------------------------------------------
 
 
@@ -740,7 +755,7 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _two_stored_batches(spark, sf_dir, transform=False).read(QUARANTINE)
+    table = read_log(_two_stored_batches(spark, sf_dir, transform=False), QUARANTINE)
     return table.drop("errors", "ingestion_timestamp").withColumn(
         "error_count", F.col("error_count").cast("bigint")
     )
@@ -757,6 +772,56 @@ def stored_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.withColumn("lookback_days", F.col("lookback_days").cast("bigint"))
 
 
+@query
+def quarantine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of each quarantined record in the append-only log of two batches."""
+    log = _two_stored_batches(spark, sf_dir, transform=False).read(QUARANTINE)
+    return log.groupBy("quarantine_id").agg(
+        F.count(F.lit(1)).alias("attempts"), F.max_by("batch_id", "delta").alias("latest_batch")
+    )
+
+
+@query
+def dup_group_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each duplicate group was first and last ingested, over two batches."""
+    return _two_stored_batches(spark, sf_dir, transform=False).read(GROUP_HISTORY)
+
+
+def _stored_feed(spark: SparkSession, sf_dir: str) -> Settings:
+    """The whole feed through a CSV file into a new store."""
+    root = scratch_path(spark, "store")
+    path = _feed_csv(spark, feed(spark, sf_dir))
+    settings = Settings(csv_path=path, store_path=f"{root}/tables", output_path=f"{root}/out", source="csv")
+    times = {"batch_id": "batch-1", "ingestion_timestamp": BATCH_1["ingestion_timestamp"]}
+    run_ingestion(spark, settings, export=False, **times)
+    return settings
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed rows, but for replays, as completed ones a day later."""
+    rows = valid_rows(_validated(spark, sf_dir)).filter("status = 'failed' AND transaction_id NOT LIKE 'TXN-R%'")
+    later = F.col("transaction_date") + F.make_dt_interval(F.lit(1))
+    return rows.withColumns({"transaction_date": later, "status": F.lit("completed")})
+
+
+@query
+def moved_ids_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a correction that are stored under another date, found in the index of ids."""
+    change = TableStore(spark, _stored_feed(spark, sf_dir).store_path).begin()
+    batch = _written(with_natural_key(_corrected(spark, sf_dir)).withColumn("event_date", F.to_date("transaction_date")))
+    return moved_ids(match_ids(batch, stored_dates(change, batch, batch.count())))
+
+
+@query
+def silver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows that a correction inserts, changes or removes: copies of a corrected row become canonical."""
+    settings = _stored_feed(spark, sf_dir)
+    path = _feed_csv(spark, _corrected(spark, sf_dir).select(*_as_text()))
+    times = {"batch_id": "batch-2", "ingestion_timestamp": RUN_TIME}
+    run_ingestion(spark, replace(settings, csv_path=path), export=False, **times)
+    return changes_of_silver(TableStore(spark, settings.store_path), 1, 2)
+
+
 @query
 def incremental_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second stored batch against the ids and the watermark that the feed lets expect."""

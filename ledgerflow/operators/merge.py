@@ -34,20 +34,3 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 def unseen_rows(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch whose key is not in ``existing``: what an upsert inserts."""
     return batch.join(existing.select(*keys), list(keys), "left_anti")
-
-
-def matched_dates(batch: DataFrame, existing: DataFrame, key: str, date: str) -> DataFrame:
-    """Per stored date: how many stored rows the batch names, and how many it moves away.
-
-    Reads two columns of ``existing``. The result has one row per date.
-    """
-    stored = existing.select(key, F.col(date).alias("stored_date"))
-    incoming = batch.select(key, F.col(date).alias("incoming_date"))
-    return (
-        stored.join(incoming, key)
-        .groupBy("stored_date")
-        .agg(
-            F.count(F.lit(1)).alias("matched"),
-            F.count_if(F.col("stored_date") != F.col("incoming_date")).alias("moved"),
-        )
-    )

@@ -18,21 +18,25 @@ from ledgerflow.operators.duplicates import (
     natural_key_hash,
     rank_duplicates,
 )
-from ledgerflow.operators.merge import matched_dates, resolve_id_collisions, upsert_by_key
+from ledgerflow.operators.history import groups_seen, latest_per_key, match_ids, merge_groups_seen
+from ledgerflow.operators.merge import resolve_id_collisions, upsert_by_key
 from ledgerflow.operators.metrics import timed_step
 from ledgerflow.operators.validate import quarantine_rows, validate, with_audit_columns
-from ledgerflow.operators.watermark import (
-    advance_watermark,
-    control_row,
-    control_state,
-    effective_watermark,
-    get_watermark,
-    next_watermark,
-)
+from ledgerflow.operators.watermark import advance_watermark, control_row, control_state, stored_bounds
 from ledgerflow.plans.settings import Settings
-from ledgerflow.plans.store import TABLES, Change, TableStore, date_key
-from ledgerflow.schema import AUDIT_SCHEMA, BRONZE, BUSINESS_SCHEMA, CONTROL, DUPLICATES, QUARANTINE, default_contract
-from ledgerflow.session import delete_path, scratch_path, spread_small_input, write_json_report
+from ledgerflow.plans.store import DELTA, TABLES, Change, TableStore, date_key
+from ledgerflow.schema import (
+    AUDIT_SCHEMA,
+    BRONZE,
+    BUSINESS_SCHEMA,
+    CONTROL,
+    DUPLICATES,
+    GROUP_HISTORY,
+    ID_DATES,
+    QUARANTINE,
+    default_contract,
+)
+from ledgerflow.session import delete_path, scratch_path, write_json_report
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.paged import FetchPage
 from ledgerflow.sources.select import LoadedTransactions, land, load_transactions
@@ -41,11 +45,17 @@ ROWS_PER_FILE = 2_000_000
 MODES = ("full", "incremental")
 # Columns of a batch before it is ranked.
 BATCH_COLUMNS = [*BUSINESS_SCHEMA.names, *AUDIT_SCHEMA.names, "natural_key_hash", "event_date"]
+# What is appended to: its key. A log of more appended parts is rewritten as one.
+LOG_KEYS = {QUARANTINE: "quarantine_id", ID_DATES: "transaction_id"}
+MOST_PARTS = 16
+# A batch of so few ids names them to the scan, which then skips row groups by their Bloom filters.
+LISTED_IDS = 1000
+BLOOM_FILTER = {"parquet.bloom.filter.enabled#transaction_id": "true"}
 
 
 def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> DataFrame:
     """Validate once and write the outcome; valid and invalid rows land in separate folders."""
-    validated = validate(spread_small_input(raw), contract)
+    validated = validate(raw, contract)
     is_valid = F.col("is_valid")
     rows = validated.withColumns(
         {
@@ -57,25 +67,53 @@ def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> Dat
     return raw.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def merge_bronze(
-    change: Change, batch: DataFrame, rows_by_date: dict, hot_rows: int = HOT_GROUP_ROWS
-) -> int:
-    """Upsert a batch with unique ids into bronze and re-rank the dates it touches.
+def read_log(tables: Change | TableStore, table: str) -> DataFrame:
+    """The newest row of each key of an appended table."""
+    return latest_per_key(tables.read(table), [LOG_KEYS[table]], DELTA)
+
+
+def append_to_log(change: Change, table: str, rows: DataFrame, options: dict[str, str] | None = None) -> None:
+    """Add a run's rows to a log. No written file is touched until the log is rewritten as a whole."""
+    parts = [key for key, entry in change.pending[table].items() if entry["rows"]]
+    names = [name for name in TABLES[table].schema.names if name != DELTA]
+    own = F.lit(f"{change.number:09d}").alias(DELTA)
+    rewritten: list[str] = []
+    rows = rows.select(*names, own)
+    if len(parts) >= MOST_PARTS:
+        rows = latest_per_key(change.read(table).unionByName(rows), [LOG_KEYS[table]], DELTA).select(*names, own)
+        rewritten = parts
+    change.stage(table, rows.sortWithinPartitions(LOG_KEYS[table]), rewritten, options=options)
+
+
+def stored_dates(change: Change, batch: DataFrame, batch_rows: int) -> DataFrame:
+    """transaction_id and event_date of stored ids, from the index alone: no bronze is read.
+
+    A store written before there was an index gets one from bronze first.
+    """
+    if change.rows_in(BRONZE) and not change.rows_in(ID_DATES):
+        known = change.read(BRONZE).select("transaction_id", "event_date", F.lit("0").alias(DELTA))
+        change.stage(ID_DATES, known.sortWithinPartitions("transaction_id"), options=BLOOM_FILTER)
+    log = change.read(ID_DATES)
+    if batch_rows <= LISTED_IDS:
+        listed = [row[0] for row in batch.select("transaction_id").distinct().collect()]
+        log = log.filter(F.col("transaction_id").isin(listed))
+    return latest_per_key(log, ["transaction_id"], DELTA)
+
+
+def merge_bronze(change: Change, batch: DataFrame, matched: DataFrame, pairs: list, hot_rows: int = HOT_GROUP_ROWS) -> None:
+    """Upsert a batch with unique ids into bronze, re-rank the dates it touches, and index its ids.
 
     A natural key holds the timestamp, so its group never spans two dates: only touched dates are
-    read, ranked and written. Where ids are stored under another date (a corrected date), that
-    date is touched too; finding them reads the id column of bronze, and of that only the row
-    groups whose ids overlap the batch's range. Returns the number of ids not seen before.
+    read, ranked and written. Ids stored under another date (a corrected date) touch that date too;
+    ``matched`` (see :func:`match_ids`) and its counts by dates, ``pairs``, name them.
     """
-    if not rows_by_date:
-        return 0
-    matches = []
-    if change.rows_in(BRONZE):
-        lowest, highest = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
-        stored = change.read(BRONZE).filter(F.col("transaction_id").between(lowest, highest))
-        matches = matched_dates(batch, stored, "transaction_id", "event_date").collect()
-    left = [row["stored_date"] for row in matches if row["moved"]]
-    touched = {date_key(day) for day in [*rows_by_date, *left]}
+    if not pairs:
+        return
+    rows_by_date: dict = {}
+    for row in pairs:
+        rows_by_date[row["event_date"]] = rows_by_date.get(row["event_date"], 0) + row["ids"]
+    left = {row["stored_date"] for row in pairs if row["stored_date"] not in (None, row["event_date"])}
+    touched = {date_key(day) for day in (*rows_by_date, *left)}
     existing = change.read(BRONZE, touched).select(*BATCH_COLUMNS)
     merged = upsert_by_key(existing, batch.select(*BATCH_COLUMNS), ["transaction_id"])
 
@@ -101,17 +139,10 @@ def merge_bronze(
     finally:
         for folder in folders:
             delete_path(spark, folder)
-    return sum(rows_by_date.values()) - sum(row["matched"] for row in matches)
-
-
-def merge_quarantine(change: Change, batch: DataFrame, dates: list) -> None:
-    """Insert or replace by quarantine id. The id fixes the payload, so it never changes date."""
-    if not dates:
-        return
-    touched = [date_key(day) for day in dates]
-    columns = TABLES[QUARANTINE].schema.names
-    merged = upsert_by_key(change.read(QUARANTINE, touched), batch.select(*columns), ["quarantine_id"])
-    change.stage(QUARANTINE, merged.hint("rebalance", "event_date"), touched)
+    new = matched.filter("stored_date IS NULL OR stored_date <> event_date")
+    append_to_log(change, ID_DATES, new, BLOOM_FILTER)
+    seen = groups_seen(change.read(BRONZE, touched))
+    change.stage(GROUP_HISTORY, merge_groups_seen(change.read(GROUP_HISTORY, touched), seen), touched)
 
 
 def ingest_into(
@@ -137,56 +168,60 @@ def ingest_into(
         "ingestion_timestamp": ingestion_timestamp or now_utc_text(),
     }
     control = change.read(CONTROL)
-    previous = get_watermark(control, settings.source)
-    lower_bound = (
-        effective_watermark(previous, settings.watermark_lookback_days) if mode == "incremental" else None
-    )
-    with timed_step(durations, "source_load"):
-        loaded = loaded or load_transactions(spark, settings, lower_bound, fetch_page)
-    staged_path = scratch_path(spark, "validated")
-    with timed_step(durations, "validation"):
-        staged = stage_validated(loaded.rows, contract, staged_path)
-        # Counted from the written files: counters kept during the write may see a task twice.
-        by_date = staged.groupBy("is_valid", "event_date").agg(
-            F.count(F.lit(1)).alias("rows"), F.max("transaction_date").alias("latest")
-        )
-        groups = by_date.collect()
-    valid_dates = {row["event_date"]: row["rows"] for row in groups if row["is_valid"]}
-    invalid_dates = {row["event_date"]: row["rows"] for row in groups if not row["is_valid"]}
-    latest = max((row["latest"] for row in groups if row["is_valid"]), default=None)
-    valid_count, invalid_count = sum(valid_dates.values()), sum(invalid_dates.values())
-
-    with timed_step(durations, "duplicate_detection"):
-        batch = with_audit_columns(staged.filter("is_valid"), **audit)
-        ids = batch.agg(F.count_distinct("transaction_id").alias("ids")).first()["ids"]
-        collisions = valid_count - ids
-        paths = [staged_path]
-        if collisions:
-            paths.append(scratch_path(spark, "unique-ids"))
-            batch = land(resolve_id_collisions(batch), paths[-1])
-            valid_dates = {
-                row["event_date"]: row["count"] for row in batch.groupBy("event_date").count().collect()
-            }
-    with timed_step(durations, "storage"):
-        inserted = merge_bronze(change, batch, valid_dates, hot_rows)
-        merge_quarantine(change, quarantine_rows(staged, **audit), list(invalid_dates))
-        watermark = next_watermark(previous, latest)
-        duplicates = change.rows_in(BRONZE, "duplicates")
-        state = control_row(
-            spark,
-            source=settings.source,
-            watermark=watermark,
-            lookback_days=settings.watermark_lookback_days,
-            batch_id=audit["batch_id"],
-            status="success",
-            records_read=valid_count + invalid_count,
-            records_valid=valid_count,
-            records_quarantined=invalid_count,
-            records_duplicated=duplicates,
-            updated_at=audit["ingestion_timestamp"],
-        )
-        change.stage(CONTROL, advance_watermark(control, state))
-        for path in filter(None, [*paths, loaded.landed_path]):
+    previous, bound = stored_bounds(control, settings.source, settings.watermark_lookback_days)
+    lower_bound = bound if mode == "incremental" else None
+    folders = {name: scratch_path(spark, name) for name in ("validated", "matched", "unique-ids")}
+    landed: list[str] = []
+    try:
+        with timed_step(durations, "source_load"):
+            loaded = loaded or load_transactions(spark, settings, lower_bound, fetch_page)
+            landed = [loaded.landed_path] if loaded.landed_path else []
+        with timed_step(durations, "validation"):
+            staged = stage_validated(loaded.rows, contract, folders["validated"])
+            # Counted from the written files: counters kept during the write may see a task twice.
+            totals = staged.groupBy("is_valid").agg(
+                F.count(F.lit(1)).alias("rows"), F.max("transaction_date").alias("latest")
+            )
+            by_verdict = {row["is_valid"]: row for row in totals.collect()}
+        valid_count, invalid_count = (by_verdict[v]["rows"] if v in by_verdict else 0 for v in (True, False))
+        latest = by_verdict[True]["latest"] if valid_count else None
+
+        with timed_step(durations, "duplicate_detection"):
+            batch = with_audit_columns(staged.filter("is_valid"), **audit)
+            # One shuffle by id finds repeated ids, the dates of the batch and the dates that ids leave.
+            matched = land(match_ids(batch, stored_dates(change, batch, valid_count)), folders["matched"])
+            pairs = matched.groupBy("event_date", "stored_date").agg(
+                F.count(F.lit(1)).alias("ids"), F.sum("copies").alias("rows")
+            )
+            pairs = pairs.collect()
+            collisions = sum(row["rows"] - row["ids"] for row in pairs)
+            if collisions:
+                batch = land(resolve_id_collisions(batch), folders["unique-ids"])
+        with timed_step(durations, "storage"):
+            merge_bronze(change, batch, matched, pairs, hot_rows)
+            if invalid_count:
+                append_to_log(change, QUARANTINE, quarantine_rows(staged, **audit))
+            duplicates = change.rows_in(BRONZE, "duplicates")
+            state = control_row(
+                spark,
+                {
+                    "source": settings.source,
+                    "last_successful_watermark": latest,
+                    "lookback_days": settings.watermark_lookback_days,
+                    "last_run_batch_id": audit["batch_id"],
+                    "last_run_status": "success",
+                    "records_read": valid_count + invalid_count,
+                    "records_valid": valid_count,
+                    "records_quarantined": invalid_count,
+                    "records_duplicated": duplicates,
+                    "updated_at": audit["ingestion_timestamp"],
+                },
+            )
+            change.stage(CONTROL, advance_watermark(control, state))
+            own = change.read(CONTROL).filter(F.col("source") == settings.source).first()
+            watermark_state = control_state(own)
+    finally:
+        for path in (*folders.values(), *landed):
             delete_path(spark, path)
     table_rows = change.rows_in(BRONZE)
     return {
@@ -199,14 +234,14 @@ def ingest_into(
         "ingestion_timestamp": audit["ingestion_timestamp"],
         "records_read": valid_count + invalid_count,
         "valid_records": valid_count,
-        "inserted_valid_records": inserted,
+        "inserted_valid_records": sum(row["ids"] for row in pairs if row["stored_date"] is None),
         "quarantined_records": invalid_count,
         "duplicate_records": duplicates,
         "canonical_valid_records": table_rows - duplicates,
         "table_valid_records": table_rows,
         "batch_id_collisions": collisions,
-        "watermark": watermark,
-        "watermark_state": control_state(state.first()),
+        "watermark": watermark_state["last_successful_watermark"],
+        "watermark_state": watermark_state,
         "durations_seconds": durations,
     }
 
@@ -215,7 +250,7 @@ def export_bronze(change: Change, settings: Settings) -> None:
     bronze = change.read(BRONZE)
     out = settings.output_path
     export_table(bronze, BRONZE, f"{out}/valid_transactions")
-    export_table(change.read(QUARANTINE), QUARANTINE, f"{out}/quarantine_records")
+    export_table(read_log(change, QUARANTINE), QUARANTINE, f"{out}/quarantine_records")
     export_table(duplicate_rows(bronze), DUPLICATES, f"{out}/duplicate_records")
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import now_utc_text, to_utc_datetime
 from ledgerflow.operators.gold import daily_summary, staging_view
+from ledgerflow.operators.history import latest_per_key, snapshot_changes
 from ledgerflow.operators.metrics import SUMMARY_SCHEMA, run_metrics, timed_step
 from ledgerflow.operators.profile import build_profile, profile_report
 from ledgerflow.operators.quality import (
@@ -18,10 +20,10 @@ from ledgerflow.operators.quality import (
     staging_checks,
 )
 from ledgerflow.operators.validate import invalid_by_kind, invalid_by_rule
-from ledgerflow.plans.ingest import export_bronze, ingest_into, settings_contract
+from ledgerflow.plans.ingest import LOG_KEYS, export_bronze, ingest_into, settings_contract
 from ledgerflow.plans.settings import Settings
-from ledgerflow.plans.store import Change, TableStore, run_number
-from ledgerflow.schema import BRONZE, GOLD, QUARANTINE
+from ledgerflow.plans.store import DELTA, Change, TableStore, run_number
+from ledgerflow.schema import BRONZE, FIELDS, GOLD, QUARANTINE
 from ledgerflow.session import write_json_report
 from ledgerflow.sources.exports import export_table
 
@@ -92,6 +94,7 @@ def write_profile(spark: SparkSession, settings: Settings) -> dict[str, Any]:
     store = TableStore(spark, settings.store_path)
     snapshot = store.snapshot()
     bronze, quarantine, gold = (store.read_from(snapshot, table, None) for table in (BRONZE, QUARANTINE, GOLD))
+    quarantine = latest_per_key(quarantine, [LOG_KEYS[QUARANTINE]], DELTA)
     by_rule = invalid_by_rule(quarantine)  # with the values found, so as long as the data has them
     by_rule.write.mode("overwrite").json(f"{settings.output_path}/invalid_count_by_rule")
     report = profile_report(build_profile(bronze, quarantine, gold, invalid_by_kind))
@@ -143,6 +146,19 @@ def run_pipeline(
     return summary
 
 
+def silver_changes(store: TableStore, before: int, after: int) -> DataFrame:
+    """Clean rows (valid, canonical) that were inserted, changed or removed between two published versions.
+
+    Only dates that a run rewrote in between are read, on both sides: a row that moves to another date
+    touches both.
+    """
+    old, new = store.snapshot(before), store.snapshot(after)
+    dates = {key for key in {*old[BRONZE], *new[BRONZE]} if old[BRONZE].get(key) != new[BRONZE].get(key)}
+    versions = [store.read_from(snapshot, BRONZE, dates) for snapshot in (old, new)]
+    clean = [rows.filter(~F.col("is_duplicate")).select(*FIELDS) for rows in versions]
+    return snapshot_changes(*clean, "transaction_id")
+
+
 def prove_incremental(
     spark: SparkSession,
     settings: Settings,

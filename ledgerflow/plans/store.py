@@ -25,6 +25,10 @@ from ledgerflow.schema import (
     CONTROL_SCHEMA,
     GOLD,
     GOLD_SCHEMA,
+    GROUP_HISTORY,
+    GROUP_HISTORY_SCHEMA,
+    ID_DATES,
+    ID_DATES_SCHEMA,
     QUARANTINE,
     QUARANTINE_STORE_SCHEMA,
 )
@@ -32,6 +36,9 @@ from ledgerflow.session import delete_path, list_names, path_exists, read_text,
 
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 _EVENT_DATE = T.StructField("event_date", T.DateType())
+# Tables that runs only append to have a folder per run instead of one per date.
+DELTA = "delta"
+_DELTA = T.StructField(DELTA, T.StringType())
 
 
 @dataclass(frozen=True)
@@ -42,7 +49,9 @@ class TableSpec:
 
 TABLES = {
     BRONZE: TableSpec(T.StructType([*BRONZE_SCHEMA.fields, _EVENT_DATE]), "event_date"),
-    QUARANTINE: TableSpec(T.StructType([*QUARANTINE_STORE_SCHEMA.fields, _EVENT_DATE]), "event_date"),
+    QUARANTINE: TableSpec(T.StructType([*QUARANTINE_STORE_SCHEMA.fields, _EVENT_DATE, _DELTA]), DELTA),
+    ID_DATES: TableSpec(T.StructType([*ID_DATES_SCHEMA.fields, _DELTA]), DELTA),
+    GROUP_HISTORY: TableSpec(T.StructType([*GROUP_HISTORY_SCHEMA.fields, _EVENT_DATE]), "event_date"),
     GOLD: TableSpec(GOLD_SCHEMA, "transaction_date"),
     CONTROL: TableSpec(CONTROL_SCHEMA, None),
 }
@@ -55,8 +64,8 @@ class CommitConflict(RuntimeError):
     """Another change was committed after this one began."""
 
 
-def date_key(value: date | None) -> str:
-    return NULL_DATE if value is None else value.isoformat()
+def date_key(value: date | str | None) -> str:
+    return NULL_DATE if value is None else str(value)
 
 
 class TableStore:
@@ -75,7 +84,8 @@ class TableStore:
         version = self.version() if version is None else version
         if version == 0:
             return {table: {} for table in TABLES}
-        return json.loads(read_text(self.spark, self._snapshot_path(version)))
+        published = json.loads(read_text(self.spark, self._snapshot_path(version)))
+        return {table: published.get(table, {}) for table in TABLES}
 
     def read(self, table: str, dates: Iterable[str] | None = None) -> DataFrame:
         return self.read_from(self.snapshot(), table, dates)
@@ -152,6 +162,7 @@ class Change:
         rows: DataFrame,
         touched: Iterable[str] = (),
         counts: dict[str, Column] | None = None,
+        options: dict[str, str] | None = None,
     ) -> None:
         """Write the full new content of the touched dates; a touched date without rows is emptied.
 
@@ -163,7 +174,7 @@ class Change:
         step = len(list_names(spark, f"{self.store.root}/{table}"))
         run = f"{self.run}-{step}"
         folder = f"{self.store.root}/{table}/run={run}"
-        writer = rows.select(*spec.schema.names).write
+        writer = rows.select(*spec.schema.names).write.options(**(options or {}))
         if spec.date_column:
             writer = writer.partitionBy(spec.date_column)
         writer.parquet(folder)

@@ -69,7 +69,7 @@ def read_csv(spark: SparkSession, path: str, *, multi_line: bool | None = None)
     be lines, True to read all files in one task each.
     """
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"CSV source not found: {path}")
+        raise FileNotFoundError(f"no CSV files at {path}")
     broken = files_with_line_breaks(spark, path) if multi_line is None else []
     options = {
         "header": True,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerflow.plans.settings import Settings
 from ledgerflow.session import delete_path, scratch_path
 from ledgerflow.sources.csv_files import load_csv_transactions
+from ledgerflow.sources.dated_landing import read_landed
 from ledgerflow.sources.paged import FetchPage, HttpPages, RequestError, TransientError, read_paged
 
 LOGGER = logging.getLogger(__name__)
@@ -72,4 +73,6 @@ def load_transactions(
 
 
 def _csv(spark: SparkSession, settings: Settings, watermark: str | None) -> DataFrame:
+    if settings.landing_path:
+        return read_landed(spark, settings.landing_path, watermark)
     return load_csv_transactions(spark, settings.csv_path, watermark, multi_line=settings.csv_multi_line)

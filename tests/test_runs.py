@@ -7,7 +7,7 @@ import pytest
 
 from ledgerflow.operators.quality import QualityError
 from ledgerflow.plans import run as runs
-from ledgerflow.plans.ingest import run_ingestion
+from ledgerflow.plans.ingest import LOG_KEYS, read_log, run_ingestion
 from ledgerflow.plans.run import prove_incremental, run_pipeline, run_transform
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import CommitConflict, TableStore
@@ -29,7 +29,8 @@ def job(tmp_path, contract_file):
 
 
 def stored(spark, settings, table=BRONZE):
-    return TableStore(spark, settings.store_path).read(table)
+    store = TableStore(spark, settings.store_path)
+    return read_log(store, table) if table in LOG_KEYS else store.read(table)
 
 
 def bronze_rows(spark, settings):

@@ -14,29 +14,13 @@ from ledgerflow.operators.watermark import (
     advance_watermark,
     control_row,
     control_state,
-    effective_watermark,
-    get_watermark,
-    next_watermark,
+    stored_bounds,
 )
 from ledgerflow.functions.text import to_utc_datetime
 from ledgerflow.plans.settings import Settings, settings_from
 from ledgerflow.schema import CONTROL_SCHEMA, default_contract
 
 
-def test_lookback():
-    assert effective_watermark("2024-03-30T10:00:00Z", 2) == "2024-03-28T10:00:00Z"
-    assert effective_watermark("2024-03-30T10:00:00Z", 0) == "2024-03-30T10:00:00Z"
-    assert effective_watermark(None, 2) is None
-
-
-def test_watermark_never_goes_back():
-    assert next_watermark("2024-03-30T10:00:00Z", "2024-03-29T10:00:00Z") == "2024-03-30T10:00:00Z"
-    assert next_watermark("2024-03-30T10:00:00Z", "2024-04-01T00:00:00+00:00") == "2024-04-01T00:00:00Z"
-    assert next_watermark(None, "2024-04-01 00:00:00") == "2024-04-01T00:00:00Z"
-    assert next_watermark("2024-03-30T10:00:00Z", None) == "2024-03-30T10:00:00Z"
-    assert next_watermark(None, None) is None
-
-
 @pytest.mark.parametrize("text", ["2024-03-30", "2024-03-30T10:00:00+01:00", "soon"])
 def test_timestamp_parameters_are_strict(text):
     with pytest.raises(ValueError):
@@ -44,34 +28,43 @@ def test_timestamp_parameters_are_strict(text):
 
 
 def state(spark, source="csv", watermark="2024-03-30T10:00:00Z", batch_id="b1"):
-    return control_row(
-        spark,
-        source=source,
-        watermark=watermark,
-        lookback_days=2,
-        batch_id=batch_id,
-        status="success",
-        records_read=10,
-        records_valid=8,
-        records_quarantined=2,
-        records_duplicated=1,
-        updated_at="2024-04-01T00:00:00Z",
-    )
+    counts = {"records_read": 10, "records_valid": 8, "records_quarantined": 2, "records_duplicated": 1}
+    values = {"source": source, "last_successful_watermark": watermark, "last_run_batch_id": batch_id}
+    rest = {"lookback_days": 2, "last_run_status": "success", "updated_at": "2024-04-01T00:00:00Z"}
+    return control_row(spark, {**values, **counts, **rest})
 
 
 def test_control_rows_are_replaced_by_key(spark):
     control = spark.createDataFrame([], CONTROL_SCHEMA)
-    assert get_watermark(control, "csv") is None
+    assert stored_bounds(control, "csv", 2) == (None, None)
     control = advance_watermark(control, state(spark))
     control = advance_watermark(control, state(spark, source="api", watermark=None))
     control = advance_watermark(control, state(spark, watermark="2024-03-29T00:00:00Z", batch_id="b2"))
-    assert get_watermark(control, "csv") == "2024-03-30T10:00:00Z"
-    assert get_watermark(control, "api") is None
+    assert control.schema.names == CONTROL_SCHEMA.names
+    assert stored_bounds(control, "csv", 2) == ("2024-03-30T10:00:00Z", "2024-03-28T10:00:00Z")
+    assert stored_bounds(control, "csv", 0) == ("2024-03-30T10:00:00Z", "2024-03-30T10:00:00Z")
+    assert stored_bounds(control, "api", 2) == stored_bounds(control, "ftp", 2) == (None, None)
     rows = {row["source"]: control_state(row) for row in control.collect()}
     assert len(rows) == 2
     assert rows["csv"]["last_run_batch_id"] == "b2"
     assert rows["csv"]["updated_at"] == "2024-04-01T00:00:00Z"
     assert rows["api"]["last_successful_watermark"] is None
+    with pytest.raises(ValueError, match="no columns"):
+        control_row(spark, {"sourse": "csv"})
+
+
+def test_watermark_never_goes_back(spark):
+    def after(*marks):
+        control = spark.createDataFrame([], CONTROL_SCHEMA)
+        for mark in marks:
+            control = advance_watermark(control, state(spark, watermark=mark))
+        return stored_bounds(control, "csv", 1)[0]
+
+    assert after("2024-03-30T10:00:00Z", "2024-03-29T10:00:00Z") == "2024-03-30T10:00:00Z"
+    assert after("2024-03-30T10:00:00Z", "2024-04-01T00:00:00+00:00") == "2024-04-01T00:00:00Z"
+    assert after(None, "2024-04-01 00:00:00") == "2024-04-01T00:00:00Z"
+    assert after("2024-03-30T10:00:00Z", None) == "2024-03-30T10:00:00Z"
+    assert after(None, None) is None
 
 
 def metrics(spark, read, valid, quarantined, duplicates, tests=True, assertions=True, watermark=None):
@@ -122,7 +115,7 @@ def test_settings_from_text():
     settings = settings_from({"source": " CSV ", "page_limit": "7", "allow_csv_fallback": "Yes", "api_key": ""})
     assert (settings.source, settings.page_limit, settings.allow_csv_fallback, settings.api_key) == ("csv", 7, True, None)
     assert settings_from({}).watermark_lookback_days == 2
-    with pytest.raises(ValueError, match="page_limit must be an integer"):
+    with pytest.raises(ValueError, match="page_limit"):
         settings_from({"page_limit": "many"})
 
 
