@@ -105,7 +105,7 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def rows_named(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is in `names`. A bitmap of bounded size leaves out most others before any shuffle."""
+    """The rows whose key is in `names`. A bitmap of bounded size leaves out most others before the shuffle."""
     hashed = F.xxhash64(key).alias("hash")
     shared = rows.sparkSession.sparkContext.broadcast(hash_bitmap(names.select(hashed)))
 
@@ -114,7 +114,7 @@ def rows_named(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
             yield batch.filter(pa.array(in_bitmap(shared.value, batch.column(0).to_numpy())))
 
     hashed_rows = rows.select(hashed, F.struct(*rows.columns).alias("row"))
-    return hashed_rows.mapInArrow(keep, hashed_rows.schema).select("row.*").join(names, key, "left_semi")
+    return hashed_rows.mapInArrow(keep, hashed_rows.schema).select("row.*").join(names.hint("merge"), key, "left_semi")
 
 
 def held_out(doc_id: Column) -> Column:
