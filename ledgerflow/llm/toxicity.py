@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.tables import held_out, labelled_texts, measure_texts
-from ledgerflow.llm.words import ALPHANUMERIC, LOWER, owners, span_hashes, text_blocks, windows, word_spans
+from ledgerflow.llm.words import ALPHANUMERIC, LOWER, give_back, owners, span_hashes, text_blocks, windows, word_spans
 
 
 @dataclass(frozen=True)
@@ -75,30 +75,27 @@ def ftrl(rows: list[tuple[int, np.ndarray]], p: Ftrl) -> np.ndarray:
     against every common word.
     """
     size = 1 << p.bits
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
+    z, n = np.zeros(size), np.zeros(size)
+    bias_z = bias_n = 0.0
 
-    def weights(at):
-        part = z[at]
-        return np.where(
-            np.abs(part) <= np.where(at == size, 0.0, p.l1),
-            0.0,
-            -(part - np.sign(part) * np.where(at == size, 0.0, p.l1)) / ((p.beta + np.sqrt(n[at])) / p.alpha + p.l2),
-        )
+    def weights(z, n, l1):
+        shrunk = np.where(np.abs(z) <= l1, 0.0, z - np.sign(z) * l1)
+        return -shrunk / ((p.beta + np.sqrt(n)) / p.alpha + p.l2)
 
-    coded = [(label, np.append(buckets, size)) for label, buckets in rows]
     share = sum(label for label, _ in rows) / len(rows)
     prior = np.log(share / (1 - share))
     for step in range(p.steps):
-        label, at = coded[step % len(coded)]
-        w = weights(at)
-        gradient = 1 / (1 + np.exp(-np.clip(prior + w.sum(), -35, 35))) - label
+        label, at = rows[step % len(rows)]
+        z_at, n_at = z[at], n[at]
+        w, bias = weights(z_at, n_at, p.l1), float(weights(bias_z, bias_n, 0.0))
+        gradient = 1 / (1 + np.exp(-np.clip(prior + w.sum() + bias, -35, 35))) - label
         gradient *= p.toxic_weight if label else 1.0
         square = gradient * gradient
-        z[at] += gradient - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / p.alpha * w
-        n[at] += square
-    learned = weights(np.arange(size + 1))
-    learned[size] += prior
-    return learned
+        z[at] = z_at + gradient - (np.sqrt(n_at + square) - np.sqrt(n_at)) / p.alpha * w
+        n[at] = n_at + square
+        bias_z += gradient - (np.sqrt(bias_n + square) - np.sqrt(bias_n)) / p.alpha * bias
+        bias_n += square
+    return np.append(weights(z, n, p.l1), weights(bias_z, bias_n, 0.0) + prior)
 
 
 def learn(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> tuple[np.ndarray, np.ndarray]:
@@ -122,13 +119,16 @@ def learn(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> tuple[np.ndar
         for batch in batches:
             for doc_id, label, buckets in zip(*(column.to_pylist() for column in batch.columns)):
                 rows.append((doc_id, label, np.frombuffer(buckets, "<i4")))
+            del batch
         if len({label for _, label, _ in rows}) < 2:
             return
         rows.sort(key=lambda row: (row[0], row[2].tobytes()))
         order = np.random.default_rng(7).permutation(len(rows))
         weights = ftrl([rows[i][1:] for i in order], p)
         used = np.flatnonzero(weights)
+        del rows
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["bucket", "weight"])
+        give_back()
 
     sample = labelled_texts(docs, labels, "toxic", p.most_labelled).select("doc_id", "label", "text")
     described = sample.mapInArrow(describe, "doc_id long, label int, buckets binary")
