@@ -6,10 +6,12 @@ only. Remainders of the event id choose the defects; none of them drops rows.
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,6 +163,32 @@ class EventPages:
         return [_api_record(row) for row in records]
 
 
+class CappedPages:
+    """Serves the ``events`` table by key, never more than ``cap`` records a page whatever is asked for."""
+
+    def __init__(self, sf_dir: str, cap: int) -> None:
+        self.path, self.cap = f"{sf_dir}/events.parquet", cap
+
+    def __call__(self, params: dict[str, Any]) -> list[dict[str, Any]]:
+        bounds = params.get("and", "")
+        low, high, after = (re.search(pattern, bounds) for pattern in (r"e\.gte\.([^,)]+)", r"e\.lt\.([^,)]+)", AFTER))
+        found = ds.field("ts") >= _pa_time(after[1] if after else low[1] if low else "1970-01-01T00:00:00Z")
+        if high:
+            found &= ds.field("ts") < _pa_time(high[1])
+        rows = ds.dataset(self.path).to_table(["event_id", "ts", "user_id", "value"], filter=found).to_pylist()
+        records = sorted((_api_record(row) for row in rows), key=lambda r: (r["transaction_date"], r["transaction_id"]))
+        if after:
+            records = [r for r in records if (r["transaction_date"], r["transaction_id"]) > (after[1], after[2])]
+        return records[: min(self.cap, params["limit"])]
+
+
+AFTER = r"transaction_date\.eq\.([^,)]+),transaction_id\.gt\.([^,)]+)"
+
+
+def _pa_time(text: str) -> pa.Scalar:
+    return pa.scalar(to_utc_datetime(text).replace(tzinfo=None), pa.timestamp("us"))
+
+
 def _api_record(row: dict[str, Any]) -> dict[str, Any]:
     """Only fields with one fixed value differ from a record a real API would send."""
     return {

@@ -486,6 +486,37 @@ SELECT natural_key_hash, event_date, coalesce(again.n, known.n) AS group_rows,
        coalesce(l, TIMESTAMP '2024-01-25') AS last_seen
 FROM known FULL JOIN again USING (natural_key_hash, event_date)"""
 
+_RUN_AUDIT = f"""{CSV_BATCHES},
+runs AS (
+  SELECT 'batch-1' AS batch_id, 'full' AS mode, TIMESTAMP '2024-01-25' AS ingested_at, event_time, len(errors) = 0 AS ok,
+         true AS is_new FROM checked_1
+  UNION ALL
+  SELECT 'batch-2', 'incremental', TIMESTAMP '2024-02-01', event_time, len(errors) = 0,
+         transaction_id NOT IN (SELECT transaction_id FROM valid_1) FROM checked_2)
+SELECT batch_id, 'csv' AS source, mode, ingested_at, count(*) AS records_read, count(*) FILTER (ok) AS records_valid,
+       count(*) FILTER (NOT ok) AS records_quarantined, count(*) FILTER (ok AND is_new) AS records_inserted,
+       min(event_time) FILTER (ok) AS first_event, max(event_time) FILTER (ok) AS last_event
+FROM runs GROUP BY ALL"""
+
+_STREAM_REPLAY = _api_errors().split("SELECT e AS id")[0] + """, half AS (SELECT * FROM checked WHERE e % 2 = 0)
+SELECT 0::BIGINT AS delivery, 0::BIGINT AS epoch, count(*) AS records_read,
+       count(*) FILTER (len(errors) = 0) AS inserted_valid_records FROM half
+UNION ALL SELECT 1, 0, 0, 0
+UNION ALL SELECT 2, 1, count(*), count(*) FILTER (len(errors) = 0 AND e % 2 = 1) FROM checked"""
+
+_VOLUME_GATE = f"""WITH {EVENTS},
+daily AS (
+  SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS records FROM e
+  WHERE NOT (CAST(ts AS DATE) = DATE '2024-01-20' AND k >= 20) GROUP BY ALL),
+framed AS (
+  SELECT *, median(records) OVER w AS expected, mad(records) OVER w AS spread, count(*) OVER w AS n FROM daily
+  WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+judged AS (SELECT *, greatest(spread * 1.4826, expected * 0.05) AS deviation FROM framed)
+SELECT event_type, day, records, CAST(expected AS DOUBLE) AS expected,
+       CASE WHEN n < 3 THEN 'no_baseline' WHEN expected - records > deviation * 6 THEN 'block'
+            WHEN expected - records > deviation * 3 THEN 'warn' ELSE 'pass' END AS verdict
+FROM judged"""
+
 _CORRECTED = "status = 'failed' AND transaction_id NOT LIKE 'TXN-R%'"
 _STORED_FEED = f"WITH {_CSV_FEED}, {_checked()}, {_valid()}, {_keyed()}, {_ranked()}"
 _SILVER_CHANGES = f"""{_STORED_FEED},
@@ -547,6 +578,13 @@ WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-20' GROUP BY status
     "landing_pruned_scan": f"""{CHECKED} SELECT transaction_id, transaction_date FROM checked
 WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-20 12:00:00'""",
     "quarantine_log": _QUARANTINE_LOG,
+    "run_audit": _RUN_AUDIT,
+    "stream_replay": _STREAM_REPLAY,
+    "volume_gate": _VOLUME_GATE,
+    "paged_pushdown": """SELECT 'TXN-' || event_id AS transaction_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS transaction_date FROM events WHERE ts >= TIMESTAMP '2024-01-20 12:00:00'""",
+    "keyset_source": """SELECT 'TXN-' || event_id AS transaction_id, CAST(value AS DECIMAL(18, 2)) AS amount,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS transaction_date FROM events""",
     "dup_group_history": _GROUP_HISTORY,
     "moved_ids_by_index": f"""{_STORED_FEED} SELECT transaction_id, CAST(transaction_date AS DATE) AS stored_date,
        CAST(transaction_date + INTERVAL 1 DAY AS DATE) AS event_date FROM valid WHERE {_CORRECTED}""",

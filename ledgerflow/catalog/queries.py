@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.catalog.feed import (
+    CappedPages,
     EventPages,
     UnavailablePages,
     api_payloads,
+    events,
     feed,
     first_batch,
     padded_feed,
@@ -30,6 +32,7 @@ from ledgerflow.operators.duplicates import (
     rank_duplicates,
     with_natural_key,
 )
+from ledgerflow.operators.gates import volume_gate as judge_volume
 from ledgerflow.operators.gold import (
     category_totals,
     completed_canonical,
@@ -88,6 +91,7 @@ from ledgerflow.schema import (
     GROUP_HISTORY,
     MONEY,
     QUARANTINE,
+    RUN_AUDIT,
     default_contract,
 )
 from ledgerflow.session import scratch_path, write_json_report, write_text
@@ -95,11 +99,14 @@ from ledgerflow.sources.csv_files import as_raw_records, normalize_columns, read
 from ledgerflow.sources.dated_landing import land_by_date, read_landed
 from ledgerflow.sources.exports import export_table
 from ledgerflow.sources.json_records import json_records
+from ledgerflow.sources.keyset import read_keyset, time_splits
 from ledgerflow.sources.landing import append_records
 from ledgerflow.sources.paged import read_paged
 from ledgerflow.sources.sample import sample_summary
 from ledgerflow.sources.select import land, load_transactions
 
+from ledgerflow.streaming.micro_batch import ingest_micro_batch
+
 Query = Callable[[SparkSession, str], DataFrame]
 LOOKBACK_DAYS = 2
 RUN_TIME = "2024-02-01T00:00:00Z"
@@ -822,6 +829,55 @@ def silver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes_of_silver(TableStore(spark, settings.store_path), 1, 2)
 
 
+@query
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of two runs read and wrote, as observed while it did."""
+    return read_log(_two_stored_batches(spark, sf_dir, transform=False), RUN_AUDIT)
+
+
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs of JSON records, the first one delivered twice: what each delivery read and inserted."""
+    root = scratch_path(spark, "stream")
+    settings = Settings(csv_path="", store_path=f"{root}/tables", output_path=f"{root}/out", source="csv")
+    lines = _written(api_payloads(spark, sf_dir).withColumnRenamed("raw_payload", "value"))
+    rows = []
+    for delivery, (epoch, part) in enumerate(((0, lines.filter("e % 2 = 0")), (0, lines.filter("e % 2 = 0")), (1, lines))):
+        said: list[dict] = []
+        ingest_micro_batch(spark, settings, said.append)(part.select("value"), epoch)
+        read, inserted = (said[0][name] if said else 0 for name in ("records_read", "inserted_valid_records"))
+        rows.append((delivery, epoch, read, inserted))
+    return spark.createDataFrame(rows, "delivery bigint, epoch bigint, records_read bigint, inserted_valid_records bigint")
+
+
+@query
+def volume_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per day and kind of event against the days before, with one day mostly missing."""
+    lost = (F.to_date("ts") == F.lit("2024-01-20").cast("date")) & (F.col("k") >= 20)
+    daily = events(spark, sf_dir).filter(~lost).groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+    judged = judge_volume(daily, ["event_type"], "day", "records")
+    return judged.select("event_type", "day", "records", "expected", "verdict")
+
+
+@query
+def paged_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time ranges of a source that caps its pages, whose lower bound is a filter of the query."""
+    splits = time_splits("2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z", spark.sparkContext.defaultParallelism)
+    pages = read_keyset(spark, CappedPages(sf_dir, 700), splits=splits, page_size=2000)
+    recent = pages.filter(F.col("event_time") >= F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))
+    return json_records(recent).select("transaction_id", "transaction_date")
+
+
+@query
+def keyset_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All time ranges of a source that caps its pages."""
+    splits = time_splits("2024-01-05T00:00:00Z", "2024-01-25T00:00:00Z", spark.sparkContext.defaultParallelism)
+    pages = json_records(read_keyset(spark, CappedPages(sf_dir, 700), splits=splits, page_size=2000))
+    return pages.select("transaction_id", "transaction_date", F.col("amount").cast(MONEY).alias("amount"))
+
+
 @query
 def incremental_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second stored batch against the ids and the watermark that the feed lets expect."""

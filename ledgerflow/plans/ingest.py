@@ -6,10 +6,10 @@ import math
 import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import now_utc_text, utc_date
+from ledgerflow.functions.text import now_utc_text, to_utc_datetime, utc_date
 from ledgerflow.operators.contract import Contract, load_contract
 from ledgerflow.operators.duplicates import (
     HOT_GROUP_ROWS,
@@ -22,7 +22,13 @@ from ledgerflow.operators.history import groups_seen, latest_per_key, match_ids,
 from ledgerflow.operators.merge import resolve_id_collisions, upsert_by_key
 from ledgerflow.operators.metrics import timed_step
 from ledgerflow.operators.validate import quarantine_rows, validate, with_audit_columns
-from ledgerflow.operators.watermark import advance_watermark, control_row, control_state, stored_bounds
+from ledgerflow.operators.watermark import (
+    PIPELINE_NAME,
+    advance_watermark,
+    control_row,
+    control_state,
+    stored_bounds,
+)
 from ledgerflow.plans.settings import Settings
 from ledgerflow.plans.store import DELTA, TABLES, Change, TableStore, date_key
 from ledgerflow.schema import (
@@ -34,6 +40,8 @@ from ledgerflow.schema import (
     GROUP_HISTORY,
     ID_DATES,
     QUARANTINE,
+    RUN_AUDIT,
+    RUN_AUDIT_SCHEMA,
     default_contract,
 )
 from ledgerflow.session import delete_path, scratch_path, write_json_report
@@ -46,15 +54,19 @@ MODES = ("full", "incremental")
 # Columns of a batch before it is ranked.
 BATCH_COLUMNS = [*BUSINESS_SCHEMA.names, *AUDIT_SCHEMA.names, "natural_key_hash", "event_date"]
 # What is appended to: its key. A log of more appended parts is rewritten as one.
-LOG_KEYS = {QUARANTINE: "quarantine_id", ID_DATES: "transaction_id"}
+LOG_KEYS = {QUARANTINE: "quarantine_id", ID_DATES: "transaction_id", RUN_AUDIT: "batch_id"}
 MOST_PARTS = 16
 # A batch of so few ids names them to the scan, which then skips row groups by their Bloom filters.
 LISTED_IDS = 1000
 BLOOM_FILTER = {"parquet.bloom.filter.enabled#transaction_id": "true"}
 
 
-def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> DataFrame:
-    """Validate once and write the outcome; valid and invalid rows land in separate folders."""
+def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> tuple[DataFrame, dict[str, Any]]:
+    """Validate once and write the outcome; valid and invalid rows land in separate folders.
+
+    Counts and times are observed in the tasks that write, so the files aren't read for them. Those tasks
+    are the last ones of their job, of which Spark counts one success each, however often one is tried.
+    """
     validated = validate(raw, contract)
     is_valid = F.col("is_valid")
     rows = validated.withColumns(
@@ -63,8 +75,17 @@ def stage_validated(raw: DataFrame, contract: Contract | None, path: str) -> Dat
             "event_date": utc_date(F.col("transaction_date")),
         }
     )
-    rows.write.partitionBy("is_valid").parquet(path)
-    return raw.sparkSession.read.schema(rows.schema).parquet(path)
+    seen = Observation()
+    event_time = F.when(is_valid, F.col("transaction_date"))
+    watched = rows.observe(
+        seen,
+        F.count_if(is_valid).alias("valid"),
+        F.count_if(~is_valid).alias("invalid"),
+        F.min(event_time).alias("first_event"),
+        F.max(event_time).alias("last_event"),
+    )
+    watched.write.partitionBy("is_valid").parquet(path)
+    return raw.sparkSession.read.schema(rows.schema).parquet(path), seen.get
 
 
 def read_log(tables: Change | TableStore, table: str) -> DataFrame:
@@ -177,14 +198,8 @@ def ingest_into(
             loaded = loaded or load_transactions(spark, settings, lower_bound, fetch_page)
             landed = [loaded.landed_path] if loaded.landed_path else []
         with timed_step(durations, "validation"):
-            staged = stage_validated(loaded.rows, contract, folders["validated"])
-            # Counted from the written files: counters kept during the write may see a task twice.
-            totals = staged.groupBy("is_valid").agg(
-                F.count(F.lit(1)).alias("rows"), F.max("transaction_date").alias("latest")
-            )
-            by_verdict = {row["is_valid"]: row for row in totals.collect()}
-        valid_count, invalid_count = (by_verdict[v]["rows"] if v in by_verdict else 0 for v in (True, False))
-        latest = by_verdict[True]["latest"] if valid_count else None
+            staged, seen = stage_validated(loaded.rows, contract, folders["validated"])
+        valid_count, invalid_count = seen["valid"], seen["invalid"]
 
         with timed_step(durations, "duplicate_detection"):
             batch = with_audit_columns(staged.filter("is_valid"), **audit)
@@ -206,7 +221,7 @@ def ingest_into(
                 spark,
                 {
                     "source": settings.source,
-                    "last_successful_watermark": latest,
+                    "last_successful_watermark": seen["last_event"],
                     "lookback_days": settings.watermark_lookback_days,
                     "last_run_batch_id": audit["batch_id"],
                     "last_run_status": "success",
@@ -217,9 +232,23 @@ def ingest_into(
                     "updated_at": audit["ingestion_timestamp"],
                 },
             )
-            change.stage(CONTROL, advance_watermark(control, state))
-            own = change.read(CONTROL).filter(F.col("source") == settings.source).first()
-            watermark_state = control_state(own)
+            change.stage(CONTROL, advance_watermark(change.read(CONTROL), state))
+            inserted = sum(row["ids"] for row in pairs if row["stored_date"] is None)
+            audited = {
+                "batch_id": audit["batch_id"],
+                "source": settings.source,
+                "mode": mode,
+                "ingested_at": to_utc_datetime(audit["ingestion_timestamp"]),
+                "records_read": valid_count + invalid_count,
+                "records_valid": valid_count,
+                "records_quarantined": invalid_count,
+                "records_inserted": inserted,
+                "first_event": seen["first_event"],
+                "last_event": seen["last_event"],
+            }
+            append_to_log(change, RUN_AUDIT, spark.createDataFrame([audited], RUN_AUDIT_SCHEMA))
+            own = (F.col("pipeline_name") == PIPELINE_NAME) & (F.col("source") == settings.source)
+            watermark_state = control_state(change.read(CONTROL).filter(own).first())
     finally:
         for path in (*folders.values(), *landed):
             delete_path(spark, path)
@@ -234,7 +263,7 @@ def ingest_into(
         "ingestion_timestamp": audit["ingestion_timestamp"],
         "records_read": valid_count + invalid_count,
         "valid_records": valid_count,
-        "inserted_valid_records": sum(row["ids"] for row in pairs if row["stored_date"] is None),
+        "inserted_valid_records": inserted,
         "quarantined_records": invalid_count,
         "duplicate_records": duplicates,
         "canonical_valid_records": table_rows - duplicates,

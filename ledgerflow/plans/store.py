@@ -31,6 +31,8 @@ from ledgerflow.schema import (
     ID_DATES_SCHEMA,
     QUARANTINE,
     QUARANTINE_STORE_SCHEMA,
+    RUN_AUDIT,
+    RUN_AUDIT_SCHEMA,
 )
 from ledgerflow.session import delete_path, list_names, path_exists, read_text, rename_path, write_text
 
@@ -50,6 +52,7 @@ class TableSpec:
 TABLES = {
     BRONZE: TableSpec(T.StructType([*BRONZE_SCHEMA.fields, _EVENT_DATE]), "event_date"),
     QUARANTINE: TableSpec(T.StructType([*QUARANTINE_STORE_SCHEMA.fields, _EVENT_DATE, _DELTA]), DELTA),
+    RUN_AUDIT: TableSpec(T.StructType([*RUN_AUDIT_SCHEMA.fields, _DELTA]), DELTA),
     ID_DATES: TableSpec(T.StructType([*ID_DATES_SCHEMA.fields, _DELTA]), DELTA),
     GROUP_HISTORY: TableSpec(T.StructType([*GROUP_HISTORY_SCHEMA.fields, _EVENT_DATE]), "event_date"),
     GOLD: TableSpec(GOLD_SCHEMA, "transaction_date"),
