@@ -633,6 +633,8 @@ UNION ALL SELECT 'o_totalprice_at_least_1000', count(*) FILTER (NOT (o_totalpric
     "gold_reconcile": f"""{GOLD}, {_tampered("tampered")}
 SELECT *, 1::BIGINT AS surplus FROM (SELECT * FROM tampered EXCEPT ALL SELECT * FROM gold)
 UNION ALL SELECT *, -1::BIGINT FROM (SELECT * FROM gold EXCEPT ALL SELECT * FROM tampered)""",
+    "gold_control_totals": f"""{GOLD} SELECT account_id, transaction_date, 1::BIGINT AS gold_rows, 1::BIGINT AS bronze_rows,
+       'net_cents' AS differing FROM gold WHERE transaction_date = DATE '2024-01-01'""",
     "multiset_check": f"""SELECT 'lines_are_distinct' AS name, CAST(sum(n - 1) AS BIGINT) AS failed_rows
 FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
     "layer_counts": f"""{GOLD} SELECT count(*) AS valid_records,

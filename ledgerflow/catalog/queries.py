@@ -64,6 +64,7 @@ from ledgerflow.operators.quality import (
     repeated_keys,
     staging_checks,
 )
+from ledgerflow.operators.reconcile import unreconciled_days
 from ledgerflow.operators.validate import (
     invalid_by_kind,
     invalid_by_rule,
@@ -585,6 +586,13 @@ def gold_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_difference(actual, daily_summary(bronze))
 
 
+@query
+def gold_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampered gold against totals of bronze that aren't computed like gold: the account days that differ."""
+    bronze = _stored_bronze(spark, sf_dir)
+    return unreconciled_days(_tampered(daily_summary(bronze)), bronze)
+
+
 @query
 def multiset_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines against distinct order lines: the surplus is what repeats."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.gold import ACCOUNT_DAY, daily_summary
+from ledgerflow.operators.reconcile import unreconciled_days
 from ledgerflow.schema import ALLOWED_VALUES, GOLD_COMPARED, GOLD_SCHEMA, MONEY
 from ledgerflow.session import write_json_report
 
@@ -131,6 +132,11 @@ def gold_assertions(gold: DataFrame, bronze: DataFrame) -> DataFrame:
     )
 
 
+def control_totals(gold: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Account days whose gold isn't borne out by totals computed another way than gold is."""
+    return _report([_counted(unreconciled_days(gold, bronze), "gold_control_totals_match_bronze")])
+
+
 def run_assertions(report: DataFrame, output_path: str | None = None) -> dict[str, Any]:
     """Evaluate a report (one row per rule), write it, then raise if a rule failed."""
     rows = [row.asDict() for row in report.collect()]

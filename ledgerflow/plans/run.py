@@ -14,6 +14,7 @@ from ledgerflow.operators.metrics import SUMMARY_SCHEMA, run_metrics, timed_step
 from ledgerflow.operators.profile import build_profile, profile_report
 from ledgerflow.operators.quality import (
     QualityError,
+    control_totals,
     gold_assertions,
     gold_model_checks,
     run_assertions,
@@ -54,9 +55,8 @@ def transform_into(
     with timed_step(durations, "model_tests"):
         run_assertions(staging_checks(staging_view(bronze)).unionByName(gold_model_checks(gold)))
     with timed_step(durations, "assertions"):
-        result = run_assertions(
-            gold_assertions(gold, bronze), f"{settings.output_path}/data_quality_assertions.json"
-        )
+        report = gold_assertions(gold, bronze).unionByName(control_totals(gold, bronze))
+        result = run_assertions(report, f"{settings.output_path}/data_quality_assertions.json")
     return {
         "daily_summary_rows": change.rows_in(GOLD),
         "rebuilt_dates": len(dates),
