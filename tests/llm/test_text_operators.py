@@ -197,6 +197,44 @@ def test_vectors(spark):
     assert embedding_dedup.near_vectors(frame.limit(0), scratch(spark)).count() == 0
 
 
+def test_vector_links_are_found_and_leaves_follow_the_data(spark):
+    copies = []
+    for count in (3000, 6000):
+        draw = np.random.default_rng(count)
+        base = draw.standard_normal((count // 2, 32))
+        noise = draw.uniform(0.05, 0.2, (count // 2, 1)) * draw.standard_normal(base.shape)
+        vectors = np.concatenate([base, base + noise])  # cosines around the threshold and above
+        rows = [(i, [float(x) for x in v], i % 7 % 2, "x", 1) for i, v in enumerate(vectors)]
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, rep string, leaf int")
+        settings = embedding_dedup.Forest(sample=512, block=100, cell_sample=400)
+        found = embedding_dedup.near_vectors(frame, scratch(spark), settings).toPandas().set_index("vec_id").sort_index()
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        label = np.array([row[2] for row in rows])
+        near = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+        np.fill_diagonal(near, False)
+        expected = near.sum(axis=1)
+        assert expected.sum() > count / 8
+        assert (found.n_links.to_numpy() <= expected).all()
+        assert found.n_links.sum() >= 0.99 * expected.sum()
+        kept = scratch(spark)
+        leaves = embedding_dedup.leaf_rows(kept.put("classes", embedding_dedup.classes_of(frame)), kept, settings)
+        sizes = leaves.groupBy("label", "size", "leaf").count().toPandas()["count"]
+        assert sizes.max() <= 1.5 * settings.block
+        assert leaves.count() == leaves.distinct().count()
+        copies.append(sizes.sum() / count)
+    assert copies[1] < 1.4 * copies[0]
+
+
+def test_vectors_that_no_cut_tells_apart_are_compared_in_blocks(spark):
+    draw = np.random.default_rng(1)
+    vectors = draw.standard_normal(24) + 0.04 * draw.standard_normal((900, 24))
+    frame = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    found = embedding_dedup.near_vectors(frame, scratch(spark), embedding_dedup.Forest(block=100)).toPandas()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    expected = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert (found.set_index("vec_id").sort_index().n_links.to_numpy() == expected).all()
+
+
 def test_classifiers_and_rules(spark, docs, none, sf_dir):
     documents, labels = (spark.read.parquet(f"{sf_dir}/../sf0.01/{name}.parquet") for name in ("documents", "labels"))
     quality = pairwise_quality.score_quality(documents, labels).join(labels, "doc_id").where("held_out").toPandas()
