@@ -13,6 +13,8 @@ hold several groups get new centres once, those with the most links (the origina
 Stars may leave pairs of a bucket untested, so the
 members of all buckets that still hold several groups are then joined exactly: of each set only the
 shingles in which a link's first common one can lie (commonest last, see `_prefix_pairs`) are matched.
+The rows of a common shingle are dealt out as pairs of blocks, so a task holds two blocks of one at most.
+An estimate rejects pairs of stars only: the exact join looks at them again.
 
 Null and empty texts have no shingles and link with nothing. Rows with equal texts are one class.
 Rows without an id can't be named by a link: their component is null and they stay. Rows that share an
@@ -49,6 +51,8 @@ class MinHash:
     rows: int = 4
     #: Least share of equal bins of a pair that is confirmed on full sets, in percent.
     estimate: int = 45
+    #: Rows of a block of the exact join; a shingle of more rows is dealt out as pairs of blocks.
+    block: int = 20_000
     seed: int = 5
 
 
@@ -206,7 +210,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
     shared = shared.where("low < high").select("k")
     buckets = scratch.put("buckets", bands.join(shared, F.col("bucket") == F.col("k"), "left_semi"))
 
-    links = labels = tested = None
+    links = labels = tested = decided = None
     for step in range(STAR_ROUNDS):  # what they leave is joined exactly
         pairs = _star_pairs(buckets, labels, links, step, p)
         if tested is not None:
@@ -216,6 +220,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
             break
         tested = pairs if tested is None else tested.union(pairs)
         near = scratch.put(f"near-{step}", _possible(pairs, reps, p))
+        decided = near if decided is None else decided.union(near)
         found = scratch.put(f"links-{step}", _confirmed(near, docs, scratch, str(step), step == 0, p))
         scratch.drop(f"sets-{step}")
         if found.isEmpty():
@@ -226,8 +231,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, p: MinHash = MinHash()) -
     open_ids = scratch.put("open", _open_members(buckets, labels))
     if not open_ids.isEmpty():
         pairs = _prefix_pairs(docs, open_ids, scratch, p)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if decided is not None:
+            pairs = pairs.join(decided, ["a", "b"], "left_anti")
         pairs = scratch.put("pairs-exact", pairs)
         found = scratch.put("links-exact", _confirmed(pairs, docs, scratch, "exact", True, p))
         scratch.drop("sets-exact", "open-sets")
@@ -325,19 +330,27 @@ def _prefix_pairs(docs: DataFrame, members: DataFrame, scratch: Scratch, p: MinH
 
     rows = sets.select("doc_id", "component", "shingles")
     rows = rows.mapInArrow(prefixes, "token long, most long, size long, rep long, component long")
-    several = rows.groupBy(F.col("token").alias("t")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(several.where("low < high").select("t"), F.col("token") == F.col("t"), "left_semi")
-    dealt = rows.repartition("token").sortWithinPartitions("token", "size")
+    several = rows.groupBy(F.col("token").alias("t")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / p.block).alias("blocks")
+    )
+    rows = rows.join(several.where("low < high").select("t", "blocks"), F.col("token") == F.col("t"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = ["token", "i", "j"]
+    rows = rows.select(
+        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "most", "size", "rep", "component"
+    )
+    dealt = rows.repartition(*cell).sortWithinPartitions(*cell, "size")
 
     def meet(batches):
         rest = None
         for batch in batches:
-            table = np.stack([batch.column(i).to_numpy() for i in range(5)])
+            table = np.stack([column.to_numpy() for column in batch.columns])
             if rest is not None:
                 table = np.concatenate([rest, table], axis=1)
             if not table.shape[1]:
                 continue
-            last = int(np.searchsorted(table[0], table[0, -1]))
+            last = int(np.flatnonzero((table[:3] == table[:3, -1:]).all(axis=0))[0])
             yield from _cross_pairs(table[:, :last], percent)
             rest = table[:, last:]
         if rest is not None:
@@ -347,16 +360,18 @@ def _prefix_pairs(docs: DataFrame, members: DataFrame, scratch: Scratch, p: MinH
 
 
 def _cross_pairs(table: np.ndarray, percent: int):
-    """Pairs of the prefix rows (token, most, size, rep, component; by token and size) that may link.
+    """Pairs of the prefix rows (token, i, j, own, most, size, rep, component; by cell and size) that may link.
 
-    Rows of a token's largest group meet those of the others only.
+    A cell holds the blocks i and j of a token's rows. Its largest group's rows meet those of the others
+    only, and rows of one block meet where i is j.
     """
-    edges = np.flatnonzero(np.diff(table[0])) + 1
+    edges = np.flatnonzero((np.diff(table[:3]) != 0).any(axis=0)) + 1
     for lo, hi in zip([0, *edges], [*edges, table.shape[1]]):
-        _, most, size, rep, component = table[:, lo:hi]
+        _, first, second, block, most, size, rep, component = table[:, lo:hi]
         names, place, counts = np.unique(component, return_inverse=True, return_counts=True)
         if len(names) < 2:
             continue
+        across = first[0] != second[0]
         own = np.flatnonzero(place != counts.argmax())
         begin = np.searchsorted(size, -(-percent * size[own] // 100))
         end = np.maximum(begin, np.searchsorted(size, most[own], side="right"))
@@ -368,6 +383,8 @@ def _cross_pairs(table: np.ndarray, percent: int):
             x = np.repeat(own[at:to], count)
             y = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[at:to], count)
             good = (most[y] >= size[x]) & (component[x] != component[y]) & (rep[x] != rep[y])
+            if across:
+                good &= block[x] != block[y]
             x, y = rep[x[good]], rep[y[good]]
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
