@@ -654,6 +654,7 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
        (SELECT count(*) FROM ({_MULTI})) AS multi_currency_account_dates FROM bronze""",
     "multi_currency_days": f"{GOLD} {_MULTI}",
     "data_profile": _profile(),
+    "profile_from_state": _profile(),
     "report_read_back": f"""{GOLD} SELECT count(*) AS valid_records,
        count(*) FILTER (NOT is_duplicate) AS canonical_valid_records, count(*) FILTER (is_duplicate) AS duplicate_records,
        (SELECT count(*) FROM checked WHERE len(errors) > 0) AS quarantined_records,

@@ -21,7 +21,7 @@ from ledgerflow.catalog.feed import (
     padded_feed,
     raw_feed,
 )
-from ledgerflow.functions.text import format_utc
+from ledgerflow.functions.text import format_utc, utc_date
 from ledgerflow.operators.contract import Contract, load_contract
 from ledgerflow.operators.duplicates import (
     canonical_rows,
@@ -52,6 +52,8 @@ from ledgerflow.operators.profile import (
     profile_report,
     value_distribution,
 )
+from ledgerflow.operators.profile_state import profile_from_state as profile_of_state
+from ledgerflow.operators.profile_state import profile_state, replace_dates
 from ledgerflow.operators.quality import (
     accepted_values,
     check_equal,
@@ -643,6 +645,19 @@ def data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_profile(bronze, _quarantine(spark, sf_dir), daily_summary(bronze))
 
 
+@query
+def profile_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from state per date, of which the second batch made only the dates it touched anew."""
+    before = _written(flag_duplicates(valid_rows(validate(first_batch(spark, sf_dir), _contract()))))
+    bronze = _stored_bronze(spark, sf_dir)
+    day = utc_date(F.col("transaction_date")).alias("event_date")
+    new = bronze.join(before.select("transaction_id"), "transaction_id", "left_anti")
+    touched = new.select(day).distinct()
+    fresh = profile_state(bronze.withColumn("event_date", day).join(touched, "event_date", "left_semi").drop("event_date"))
+    state = _written(replace_dates(_written(profile_state(before)), fresh, touched))
+    return profile_of_state(state, _quarantine(spark, sf_dir), daily_summary(bronze), account_count(bronze))
+
+
 @query
 def report_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row counts of the profile report, written as JSON and read again."""

@@ -70,9 +70,25 @@ def build_profile(
     rules: Callable[[DataFrame], DataFrame] = invalid_by_rule,
 ) -> DataFrame:
     """The profile as rows ``(section, key, value)``; ``rules`` counts the failures of quarantine."""
+    days = _row_count(multi_currency_days(bronze), "multi_currency_account_dates")
+    return profile_rows(
+        bronze_summary(bronze), account_count(bronze), days, value_distribution(bronze), quarantine, gold, rules
+    )
+
+
+def profile_rows(
+    summary: DataFrame,
+    accounts: DataFrame,
+    days: DataFrame,
+    distribution: DataFrame,
+    quarantine: DataFrame,
+    gold: DataFrame,
+    rules: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The rows of the profile from its parts."""
     parts = [
         _unpivot(
-            bronze_summary(bronze),
+            summary,
             {
                 "valid_records": "row_counts",
                 "canonical_valid_records": "row_counts",
@@ -82,14 +98,11 @@ def build_profile(
                 "duplicate_group_count": "scalars",
             },
         ),
-        _unpivot(account_count(bronze), {"account_count": "scalars"}),
+        _unpivot(accounts, {"account_count": "scalars"}),
         _unpivot(_row_count(quarantine, "quarantined_records"), {"quarantined_records": "row_counts"}),
         _unpivot(_row_count(gold, "gold_daily_summary_rows"), {"gold_daily_summary_rows": "row_counts"}),
-        _unpivot(
-            _row_count(multi_currency_days(bronze), "multi_currency_account_dates"),
-            {"multi_currency_account_dates": "scalars"},
-        ),
-        value_distribution(bronze).select(
+        _unpivot(days, {"multi_currency_account_dates": "scalars"}),
+        distribution.select(
             *_long(F.concat("column_name", F.lit("_distribution")), F.col("value"), F.col("row_count"))
         ),
         rules(quarantine).select(*_long("invalid_count_by_rule", F.col("rule"), F.col("failures"))),
