@@ -11,7 +11,8 @@ from ledgerflow.functions.text import now_utc_text, to_utc_datetime
 from ledgerflow.operators.gold import daily_summary, staging_view
 from ledgerflow.operators.history import latest_per_key, snapshot_changes
 from ledgerflow.operators.metrics import SUMMARY_SCHEMA, run_metrics, timed_step
-from ledgerflow.operators.profile import build_profile, profile_report
+from ledgerflow.operators.profile import account_count, profile_report
+from ledgerflow.operators.profile_state import profile_from_state, profile_state
 from ledgerflow.operators.quality import (
     QualityError,
     control_totals,
@@ -23,33 +24,37 @@ from ledgerflow.operators.quality import (
 from ledgerflow.operators.validate import invalid_by_kind, invalid_by_rule
 from ledgerflow.plans.ingest import LOG_KEYS, export_bronze, ingest_into, settings_contract
 from ledgerflow.plans.settings import Settings
-from ledgerflow.plans.store import DELTA, Change, TableStore, run_number
-from ledgerflow.schema import BRONZE, FIELDS, GOLD, QUARANTINE
+from ledgerflow.plans.store import DELTA, Change, Dates, TableStore, run_number
+from ledgerflow.schema import BRONZE, FIELDS, GOLD, PROFILE, QUARANTINE
 from ledgerflow.session import write_json_report
 from ledgerflow.sources.exports import export_table
 
 
-def stale_dates(change: Change) -> list[str]:
-    """Dates whose bronze is newer than their gold."""
-    gold, bronze = change.pending[GOLD], change.pending[BRONZE]
-    return [key for key, entry in bronze.items() if run_number(gold.get(key)) < run_number(entry)]
+def stale_dates(snapshot: dict[str, Dates], table: str) -> list[str]:
+    """Dates whose bronze is newer than the table derived from it."""
+    derived = snapshot[table]
+    return [key for key, entry in snapshot[BRONZE].items() if run_number(derived.get(key)) < run_number(entry)]
 
 
 def transform_into(
     change: Change, settings: Settings, *, updated_at: str | None = None, check_whole_table: bool = False
 ) -> dict[str, Any]:
-    """Rebuild gold for stale dates in an open change, then run all quality checks on it.
+    """Rebuild gold and the profile of stale dates in an open change, then run all quality checks on gold.
 
     Gold rows, keys and their reconciliation with bronze never cross a date, so the checks read
     the rebuilt dates; ``check_whole_table`` reads every date. A failed check raises before
     anything is published.
     """
     durations: dict[str, float] = {}
-    dates = stale_dates(change)
+    dates = stale_dates(change.pending, GOLD)
     with timed_step(durations, "build"):
         if dates:
             gold = daily_summary(change.read(BRONZE, dates), updated_at or now_utc_text())
             change.stage(GOLD, gold.hint("rebalance", "transaction_date"), dates)
+    with timed_step(durations, "profile"):
+        unprofiled = stale_dates(change.pending, PROFILE)
+        if unprofiled:
+            change.stage(PROFILE, profile_state(change.read(BRONZE, unprofiled)), unprofiled)
     checked = None if check_whole_table else dates
     bronze, gold = change.read(BRONZE, checked), change.read(GOLD, checked)
     with timed_step(durations, "model_tests"):
@@ -90,14 +95,23 @@ def pipeline_metrics(spark: SparkSession, summary: dict[str, Any], now: str) ->
 
 
 def write_profile(spark: SparkSession, settings: Settings) -> dict[str, Any]:
-    """The report, whose rules are named without values, and a folder of the counts by full message."""
+    """The report, whose rules are named without values, and a folder of the counts by full message.
+
+    It is made from the stored state of each date. Of bronze it reads the accounts, if they are to be
+    counted exactly, and dates whose state is older than their rows.
+    """
     store = TableStore(spark, settings.store_path)
     snapshot = store.snapshot()
-    bronze, quarantine, gold = (store.read_from(snapshot, table, None) for table in (BRONZE, QUARANTINE, GOLD))
+    quarantine, gold = (store.read_from(snapshot, table, None) for table in (QUARANTINE, GOLD))
+    stale = stale_dates(snapshot, PROFILE)
+    state = store.read_from(snapshot, PROFILE, snapshot[PROFILE].keys() - set(stale))
+    if stale:
+        state = state.unionByName(profile_state(store.read_from(snapshot, BRONZE, stale)))
+    accounts = account_count(store.read_from(snapshot, BRONZE, None)) if settings.exact_account_count else None
     quarantine = latest_per_key(quarantine, [LOG_KEYS[QUARANTINE]], DELTA)
     by_rule = invalid_by_rule(quarantine)  # with the values found, so as long as the data has them
     by_rule.write.mode("overwrite").json(f"{settings.output_path}/invalid_count_by_rule")
-    report = profile_report(build_profile(bronze, quarantine, gold, invalid_by_kind))
+    report = profile_report(profile_from_state(state, quarantine, gold, accounts, invalid_by_kind))
     write_json_report(spark, report, f"{settings.output_path}/data_profile.json")
     return report
 

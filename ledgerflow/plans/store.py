@@ -29,6 +29,8 @@ from ledgerflow.schema import (
     GROUP_HISTORY_SCHEMA,
     ID_DATES,
     ID_DATES_SCHEMA,
+    PROFILE,
+    PROFILE_SCHEMA,
     QUARANTINE,
     QUARANTINE_STORE_SCHEMA,
     RUN_AUDIT,
@@ -56,6 +58,7 @@ TABLES = {
     ID_DATES: TableSpec(T.StructType([*ID_DATES_SCHEMA.fields, _DELTA]), DELTA),
     GROUP_HISTORY: TableSpec(T.StructType([*GROUP_HISTORY_SCHEMA.fields, _EVENT_DATE]), "event_date"),
     GOLD: TableSpec(GOLD_SCHEMA, "transaction_date"),
+    PROFILE: TableSpec(T.StructType([*PROFILE_SCHEMA.fields, _EVENT_DATE]), "event_date"),
     CONTROL: TableSpec(CONTROL_SCHEMA, None),
 }
 

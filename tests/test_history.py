@@ -1,16 +1,20 @@
 """Appended state: the quarantine log, the index of ids, group history, snapshot differences, dated landing."""
 
 import os
+from dataclasses import replace
 
 import pytest
 
 from ledgerflow.operators import history
+from ledgerflow.operators.history import latest_per_key
+from ledgerflow.operators.profile import build_profile, profile_report
+from ledgerflow.operators.validate import invalid_by_kind
 from ledgerflow.plans import ingest as ingestion
-from ledgerflow.plans.ingest import read_log, run_ingestion, stored_dates
-from ledgerflow.plans.run import silver_changes
+from ledgerflow.plans.ingest import LOG_KEYS, read_log, run_ingestion, stored_dates
+from ledgerflow.plans.run import run_pipeline, silver_changes, write_profile
 from ledgerflow.plans.settings import Settings
-from ledgerflow.plans.store import NULL_DATE, TableStore
-from ledgerflow.schema import BRONZE, GROUP_HISTORY, ID_DATES, QUARANTINE
+from ledgerflow.plans.store import DELTA, NULL_DATE, TableStore
+from ledgerflow.schema import BRONZE, GOLD, GROUP_HISTORY, ID_DATES, PROFILE, QUARANTINE
 from ledgerflow.sources.dated_landing import land_by_date, landed_folders, read_landed
 
 
@@ -194,3 +198,27 @@ def test_runs_read_a_dated_landing(spark, job, make_raw, tmp_path):
     second = ingest(spark, settings, "incremental")
     assert second["inserted_valid_records"] == 1 and second["watermark"] == "2024-03-30T12:00:00Z"
     assert second["records_read"] == 1 + 3 + 2  # from the lookback on, the unreadable date, and the odd status
+
+
+def test_profile_is_kept_with_the_store(spark, job, write_csv):
+    settings = job(write_csv(*DAYS, *BAD, {"transaction_id": "TXN-C", "transaction_date": "2024-03-19T08:00:00Z"}))
+    run_pipeline(spark, settings, "incremental", export=False)
+    moved = {"transaction_id": "TXN-17", "transaction_date": "2024-03-20T09:00:00Z", "account_id": "ACC-0002"}
+    settings = job(write_csv(moved))
+    run_pipeline(spark, settings, "incremental", export=False)
+    store = TableStore(spark, settings.store_path)
+    snapshot = store.snapshot()
+    runs = {key: int(entry["run"].split("-")[0]) for key, entry in snapshot[PROFILE].items()}
+    assert {key for key, run in runs.items() if run == 2} == {"2024-03-17", "2024-03-20"}  # the others stay as they were
+    quarantine = latest_per_key(store.read(QUARANTINE), [LOG_KEYS[QUARANTINE]], DELTA)
+    expected = profile_report(build_profile(store.read(BRONZE), quarantine, store.read(GOLD), invalid_by_kind))
+    assert write_profile(spark, settings) == expected
+    assert expected["row_counts"]["valid_records"] == 11 and expected["account_count"] == 2
+
+    old = {**snapshot, PROFILE: {key: entry for key, entry in snapshot[PROFILE].items() if key > "2024-03-15"}}
+    store.commit(3, old)  # a store whose older dates have no state yet
+    assert write_profile(spark, settings) == expected
+
+    store.commit(4, snapshot)
+    spoil(settings, BRONZE, "event_date=")
+    assert write_profile(spark, replace(settings, exact_account_count=False)) == expected  # without a look at bronze
