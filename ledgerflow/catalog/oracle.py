@@ -664,6 +664,16 @@ FROM (SELECT count(*) AS n {_LINES_REPEATED})""",
     "metric_warnings": _METRIC_WARNINGS,
     "stored_bronze": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()} SELECT {_MERGED_COLUMNS} FROM bronze",
     "stored_gold": f"{CSV_BATCHES}, {_keyed('merged')}, {_ranked()}, {_gold()} SELECT * FROM gold",
+    "stored_profile": f"""{CSV_BATCHES}, {_keyed('merged')}, {_ranked()},
+days AS (
+  SELECT CAST(transaction_date AS DATE) AS event_date, account_id, count(*) AS n, count_if(is_duplicate) AS copies,
+         count_if(duplicate_rank = 2) AS groups,
+         count(DISTINCT currency) FILTER (status = 'completed' AND NOT is_duplicate) AS currencies
+  FROM bronze GROUP BY ALL)
+SELECT event_date, CAST(sum(n) AS BIGINT) AS valid_records, CAST(sum(n - copies) AS BIGINT) AS canonical_valid_records,
+       CAST(sum(copies) AS BIGINT) AS duplicate_records, CAST(sum(groups) AS BIGINT) AS duplicate_group_count,
+       CAST(count_if(currencies > 1) AS BIGINT) AS multi_currency_account_dates
+FROM days GROUP BY event_date""",
     "stored_quarantine": _STORED_QUARANTINE,
     "stored_control": _STORED_CONTROL,
     "incremental_proof": f"""{BATCHES} SELECT count(*) AS expected_inserted_valid_records,

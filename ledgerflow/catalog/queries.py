@@ -52,6 +52,7 @@ from ledgerflow.operators.profile import (
     profile_report,
     value_distribution,
 )
+from ledgerflow.operators.profile_state import COUNTS as STATE_COUNTS
 from ledgerflow.operators.profile_state import profile_from_state as profile_of_state
 from ledgerflow.operators.profile_state import profile_state, replace_dates
 from ledgerflow.operators.quality import (
@@ -93,6 +94,7 @@ from ledgerflow.schema import (
     GOLD_COMPARED,
     GROUP_HISTORY,
     MONEY,
+    PROFILE,
     QUARANTINE,
     RUN_AUDIT,
     default_contract,
@@ -796,6 +798,12 @@ def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_stored_batches(spark, sf_dir, transform=True).read(GOLD).select(*GOLD_COMPARED)
 
 
+@query
+def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each date as two batches leave them in the store."""
+    return _two_stored_batches(spark, sf_dir, transform=True).read(PROFILE).select("event_date", *STATE_COUNTS)
+
+
 @query
 def stored_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = _two_stored_batches(spark, sf_dir, transform=False).read(CONTROL)
