@@ -7,18 +7,19 @@ only. Remainders of the event id choose the defects; none of them drops rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
+import pyarrow.fs as fs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import to_utc_datetime
 from ledgerflow.schema import CURRENCIES, FIELDS, MERCHANT_CATEGORIES
-from ledgerflow.session import spread_small_input
+from ledgerflow.session import scratch_path, spread_small_input
 from ledgerflow.sources.csv_files import as_raw_records
 from ledgerflow.sources.paged import TransientError
 
@@ -26,6 +27,8 @@ COUNTRIES = ("US", "DE", "GB", "CH", "JP", "AU", "CA")
 # Fields of the API form of a record that are sent as null or left out, by the value of k.
 API_NULLS = {13: "status", 19: "transaction_date", 23: "amount", 29: "country_code", 31: "transaction_id"}
 API_MISSING = {17: "merchant_name", 37: "amount"}
+# Rows of a file of ordered_events at most; a reader holds those of one file.
+KEYS_A_FILE = 100_000
 
 
 def _pick(values: tuple[str, ...], place: Column) -> Column:
@@ -163,30 +166,80 @@ class EventPages:
         return [_api_record(row) for row in records]
 
 
+def ordered_events(spark: SparkSession, sf_dir: str) -> str:
+    """A copy of the dated ``events`` in the order of their keys, in small files: what an API has as its index."""
+    path = scratch_path(spark, "event-keys")
+    names = ["event_id", "ts", "user_id", "value"]
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").filter("ts IS NOT NULL")
+    second = F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T")
+    key = F.concat(second, F.lit(" TXN-"), F.coalesce(F.col("event_id").cast("string"), F.lit("None")))
+    place = F.struct("_metadata.file_path", "_metadata.row_index")  # records of one key keep their order
+    ordered = rows.select(*names, key.alias("key"), place.alias("place")).repartitionByRange("key")
+    ordered = ordered.sortWithinPartitions("key", "place").drop("place")
+    ordered.write.option("maxRecordsPerFile", KEYS_A_FILE).parquet(path)
+    return path
+
+
 class CappedPages:
-    """Serves the ``events`` table by key, never more than ``cap`` records a page whatever is asked for."""
+    """Serves ``ordered_events`` by key, never more than ``cap`` records a page whatever is asked for.
+
+    The files' footers have their first and last keys, so a request opens the one its page begins in, and
+    others only if the page goes on there. The file opened last is held for the next request.
+    """
 
-    def __init__(self, sf_dir: str, cap: int) -> None:
-        self.path, self.cap = f"{sf_dir}/events.parquet", cap
+    def __init__(self, path: str, cap: int) -> None:
+        self.path, self.cap = path, cap
+        self.groups: list[tuple[str, str, str, int]] | None = None
+        self.held: tuple[Any, Any] = (None, None)
+
+    def _listed(self) -> list[tuple[str, str, str, int]]:
+        """First key, last key, file and number of each row group, in the order of the keys."""
+        if self.groups is None:
+            self.store, folder = fs.FileSystem.from_uri(self.path) if ":/" in self.path else (fs.LocalFileSystem(), self.path)
+            found = []
+            for info in self.store.get_file_info(fs.FileSelector(folder)):
+                if info.base_name.endswith(".parquet"):
+                    with pq.ParquetFile(info.path, filesystem=self.store) as table:
+                        place = table.schema_arrow.get_field_index("key")
+                        for group in range(table.num_row_groups):
+                            keys = table.metadata.row_group(group).column(place).statistics
+                            found.append((keys.min, keys.max, info.path, group))
+            self.groups = sorted(found)
+        return self.groups
+
+    def _rows(self, path: str, group: int) -> pa.Table:
+        if self.held[0] != (path, group):
+            self.held = (None, None)
+            with pq.ParquetFile(path, filesystem=self.store) as table:
+                self.held = ((path, group), table.read_row_group(group).combine_chunks())
+        return self.held[1]
 
     def __call__(self, params: dict[str, Any]) -> list[dict[str, Any]]:
         bounds = params.get("and", "")
         low, high, after = (re.search(pattern, bounds) for pattern in (r"e\.gte\.([^,)]+)", r"e\.lt\.([^,)]+)", AFTER))
-        found = ds.field("ts") >= _pa_time(after[1] if after else low[1] if low else "1970-01-01T00:00:00Z")
-        if high:
-            found &= ds.field("ts") < _pa_time(high[1])
-        rows = ds.dataset(self.path).to_table(["event_id", "ts", "user_id", "value"], filter=found).to_pylist()
-        records = sorted((_api_record(row) for row in rows), key=lambda r: (r["transaction_date"], r["transaction_id"]))
-        if after:
-            records = [r for r in records if (r["transaction_date"], r["transaction_id"]) > (after[1], after[2])]
-        return records[: min(self.cap, params["limit"])]
+        # A second is less than each of its keys, and a key with something behind it is greater than that key.
+        start = f"{_second(after[1])} {after[2]}\0" if after else _second(low[1] if low else "1970-01-01T00:00:00Z")
+        end, most = _second(high[1]) if high else None, min(self.cap, params["limit"])
+        records: list[dict[str, Any]] = []
+        groups = self._listed()
+        for first, _, path, group in groups[bisect_left(groups, start, key=lambda g: g[1]) :]:
+            if len(records) == most or (end and first >= end):
+                break
+            rows = self._rows(path, group)
+            keys = rows["key"].chunk(0)
+            begin = bisect_left(range(len(keys)), start, key=lambda i: keys[i].as_py())
+            stop = bisect_left(range(len(keys)), end, key=lambda i: keys[i].as_py()) if end else len(keys)
+            size = min(stop - begin, most - len(records))
+            if size > 0:
+                records += map(_api_record, rows.slice(begin, size).to_pylist())
+        return records
 
 
 AFTER = r"transaction_date\.eq\.([^,)]+),transaction_id\.gt\.([^,)]+)"
 
 
-def _pa_time(text: str) -> pa.Scalar:
-    return pa.scalar(to_utc_datetime(text).replace(tzinfo=None), pa.timestamp("us"))
+def _second(text: str) -> str:
+    return to_utc_datetime(text).isoformat()
 
 
 def _api_record(row: dict[str, Any]) -> dict[str, Any]:

@@ -18,6 +18,7 @@ from ledgerflow.catalog.feed import (
     events,
     feed,
     first_batch,
+    ordered_events,
     padded_feed,
     raw_feed,
 )
@@ -896,7 +897,7 @@ def volume_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paged_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time ranges of a source that caps its pages, whose lower bound is a filter of the query."""
     splits = time_splits("2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z", spark.sparkContext.defaultParallelism)
-    pages = read_keyset(spark, CappedPages(sf_dir, 700), splits=splits, page_size=2000)
+    pages = read_keyset(spark, CappedPages(ordered_events(spark, sf_dir), 700), splits=splits, page_size=2000)
     recent = pages.filter(F.col("event_time") >= F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))
     return json_records(recent).select("transaction_id", "transaction_date")
 
@@ -905,7 +906,7 @@ def paged_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyset_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All time ranges of a source that caps its pages."""
     splits = time_splits("2024-01-05T00:00:00Z", "2024-01-25T00:00:00Z", spark.sparkContext.defaultParallelism)
-    pages = json_records(read_keyset(spark, CappedPages(sf_dir, 700), splits=splits, page_size=2000))
+    pages = json_records(read_keyset(spark, CappedPages(ordered_events(spark, sf_dir), 700), splits=splits, page_size=2000))
     return pages.select("transaction_id", "transaction_date", F.col("amount").cast(MONEY).alias("amount"))
 
 

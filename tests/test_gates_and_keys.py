@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow.catalog import feed
 from ledgerflow.operators.gates import freshness_gate, volume_gate
 from ledgerflow.plans import ingest as ingestion
 from ledgerflow.plans.ingest import read_log, run_ingestion
@@ -111,6 +112,50 @@ def test_a_server_that_ignores_keys_is_refused(spark):
         read_keyset(spark, lambda params: [record]).collect()
 
 
+def events_at(spark, path, seconds):
+    start = datetime(2024, 1, 1)
+    rows = [(n, s if s is None else start + timedelta(seconds=s), n % 7, n / 4) for n, s in enumerate(seconds)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, value double"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{path}/events.parquet")
+    return feed.ordered_events(spark, str(path))
+
+
+def test_a_page_by_key_costs_no_pass_over_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "KEYS_A_FILE", 50)
+    pages = feed.CappedPages(events_at(spark, tmp_path, [n * 37 % 1000 for n in range(1000)]), 7)
+    read, read_group = [], feed.pq.ParquetFile.read_row_group
+
+    def noted(table, group, *args, **kwargs):
+        rows = read_group(table, group, *args, **kwargs)
+        read.append(rows.num_rows)
+        return rows
+
+    monkeypatch.setattr(feed.pq.ParquetFile, "read_row_group", noted)
+    found, bounds = [], ""
+    while records := pages({"limit": 100, "and": bounds}):
+        assert len(records) == 7 or len(found) + len(records) == 1000
+        found += [(r["transaction_date"], r["transaction_id"]) for r in records]
+        day, key = found[-1]
+        bounds = f"(or(transaction_date.gt.{day},and(transaction_date.eq.{day},transaction_id.gt.{key})))"
+    assert found == sorted(found) and len(set(found)) == 1000
+    assert sum(read) == 1000 and max(read) <= 50  # 143 pages
+
+
+def test_pages_by_key_hold_every_dated_event(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "KEYS_A_FILE", 4)
+    seconds = [*range(40), *[20] * 30, None, 86_400, 86_400, 40 * 86_400, None]  # one second, several files
+    pages = feed.CappedPages(events_at(spark, tmp_path, seconds), 5)
+    splits = ["2024-01-01T00:00:10Z", "2024-01-01T00:00:20Z", "2024-01-01T00:00:21Z", "2024-01-10T00:00:00Z"]
+    dated = [n for n, s in enumerate(seconds) if s is not None]
+    for cuts in ([], splits):
+        rows = read_keyset(spark, pages, splits=cuts, page_size=9).collect()
+        assert sorted(json.loads(row["raw_payload"])["id"] for row in rows) == dated
+    late = read_keyset(spark, pages, splits=splits).filter("event_time >= timestamp_ntz'2024-01-01 00:00:20'")
+    assert late.count() == sum(s is not None and s >= 20 for s in seconds)
+    (tmp_path / "none").mkdir()
+    assert feed.CappedPages(events_at(spark, tmp_path / "none", [None]), 5)({"limit": 9}) == []
+
+
 def test_splits_are_within_the_span():
     assert time_splits("2024-03-01T00:00:00Z", "2024-03-03T00:00:00Z", 2) == ["2024-03-02T00:00:00Z"]
     assert time_splits("2024-03-01T00:00:00Z", "2024-03-01T00:00:00Z", 3) == ["2024-03-01T00:00:00Z"]
