@@ -21,6 +21,10 @@ from ledgerflow.schema import FIELDS, METADATA_FIELDS
 from ledgerflow.session import delete_path, list_names, path_exists, rename_path, scratch_path
 
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
+# Parts that the rows of a date are dealt to, so that a batch of one day isn't one task's either.
+PARTS_A_DATE = 16
+# At most so many shuffle partitions are written to without sorting rows in memory.
+MOST_SHUFFLED = 200
 BATCH_NAME = re.compile(r"[A-Za-z0-9._-]+")
 RAW_TYPE = T.StructType(
     [
@@ -35,7 +39,8 @@ def land_by_date(raw: DataFrame, path: str, batch: str) -> list[str]:
     """Add a batch of raw records; returns the names of its date folders.
 
     The batch is written aside first and then moved in, one folder a date, so a reader never sees a part
-    of a file. Landing a batch again replaces it.
+    of a file. Landing a batch again replaces it. A task sorts the rows it writes by date; they are dealt
+    out by date before, in shares that Spark bounds in bytes, so what a task sorts doesn't grow with the batch.
     """
     if not BATCH_NAME.fullmatch(batch):
         raise ValueError("a batch is named with letters, digits, dots, dashes and underscores")
@@ -43,7 +48,9 @@ def land_by_date(raw: DataFrame, path: str, batch: str) -> list[str]:
     aside = scratch_path(spark, "landing")
     dated = raw.select(*RAW_TYPE.names).withColumn("event_date", utc_date(parse_utc(F.col("transaction_date"))))
     try:
-        dated.write.partitionBy("event_date").parquet(aside)
+        part = F.pmod(F.xxhash64("raw_payload"), F.lit(PARTS_A_DATE))
+        shares = dated.withColumn("part", part).hint("rebalance", MOST_SHUFFLED, "event_date", "part").drop("part")
+        shares.write.partitionBy("event_date").parquet(aside)
         names = [name for name in list_names(spark, aside) if name.startswith("event_date=")]
         for name in list_names(spark, path):
             if path_exists(spark, f"{path}/{name}/batch={batch}"):

@@ -4,6 +4,7 @@ import os
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow.operators import history
 from ledgerflow.operators.history import latest_per_key
@@ -188,6 +189,24 @@ def test_dated_landing_opens_only_the_dates_it_needs(spark, make_raw, tmp_path):
     assert read_landed(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_batch_of_one_day_is_written_in_bounded_shares(spark, make_raw, tmp_path, monkeypatch):
+    monkeypatch.setattr("ledgerflow.sources.dated_landing.MOST_SHUFFLED", 20)
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    path = str(tmp_path / "landing")
+    rows = [{"transaction_id": f"TXN-{n}", "transaction_date": "2024-03-18T23:00:00Z"} for n in range(4000)]
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        land_by_date(make_raw(*rows).coalesce(1), path, "one")
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    landed = read_landed(spark, path)
+    assert landed.select("transaction_id").distinct().count() == landed.count() == 4000
+    shares = [r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()]
+    assert len(shares) >= 8 and max(shares) <= 1000
+
+
 def test_runs_read_a_dated_landing(spark, job, make_raw, tmp_path):
     path = str(tmp_path / "landing")
     land_by_date(make_raw(*DAYS, *BAD), path, "one")
