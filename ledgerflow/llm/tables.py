@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.words import text_blocks
+from ledgerflow.llm.words import BLOCK_BYTES, SMALL_BLOCK_BYTES, text_blocks
 from ledgerflow.session import delete_path, scratch_path
 
 #: Words, as Java and DuckDB patterns.
@@ -55,10 +55,11 @@ def measure_texts(
     measure: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray | pa.Array]],
     columns: str,
     keep: tuple[str, ...] = ("doc_id",),
+    block: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The columns `keep` of each row and what `measure` finds in its text.
 
-    `measure` gets the bytes of several texts and each text's first byte. It returns one array per
+    `measure` gets the bytes of several texts, about `block` in all, and each text's first byte. It returns one array per
     name in `columns`, a schema string. Other columns of `docs` aren't read.
     """
     rows = docs.select(*keep, "text")
@@ -66,7 +67,7 @@ def measure_texts(
     names = [field.name for field in schema.fields[len(keep) :]]
 
     def run(batches):
-        for part, data, offsets in text_blocks(batches):
+        for part, data, offsets in text_blocks(batches, block=block):
             found = measure(data, offsets)
             kept = [part.column(i) for i, name in enumerate(part.schema.names) if name != "text"]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(found[name]) for name in names)], [*keep, *names])
@@ -78,7 +79,7 @@ def filter_texts(docs: DataFrame, keeps: Callable[[np.ndarray, np.ndarray], np.n
     """The rows whose text `keeps` accepts, with all their columns, in place and without a shuffle."""
 
     def run(batches):
-        for part, data, offsets in text_blocks(batches):
+        for part, data, offsets in text_blocks(batches, block=SMALL_BLOCK_BYTES):
             yield part.filter(pa.array(keeps(data, offsets)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.tables import held_out, labelled_texts, measure_texts
-from ledgerflow.llm.words import ALPHANUMERIC, LOWER, give_back, owners, span_hashes, text_blocks, windows, word_spans
+from ledgerflow.llm.words import (
+    ALPHANUMERIC,
+    LOWER,
+    SMALL_BLOCK_BYTES,
+    give_back,
+    owners,
+    span_hashes,
+    text_blocks,
+    windows,
+    word_spans,
+)
 
 
 @dataclass(frozen=True)
@@ -105,7 +115,7 @@ def learn(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> tuple[np.ndar
     """
 
     def describe(batches):
-        for part, data, offsets in text_blocks(batches):
+        for part, data, offsets in text_blocks(batches, block=SMALL_BLOCK_BYTES):
             buckets, text = features(data, offsets, p.bits)
             cuts = np.searchsorted(text, np.arange(len(offsets)))
             lists = [buckets[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
@@ -156,7 +166,8 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl
 def score_toxicity(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
     """doc_id, held_out, score and predicted of each document."""
     score = scorer(docs, learn(docs, labels, p), p)
-    scored = measure_texts(docs, lambda data, offsets: {"score": score(data, offsets)}, "score double")
+    measured = lambda data, offsets: {"score": score(data, offsets)}
+    scored = measure_texts(docs, measured, "score double", block=SMALL_BLOCK_BYTES)
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Text bytes handled at a time; a longer text forms a block of its own.
 BLOCK_BYTES = 1 << 20
+#: The same where nothing is shared between texts: the arrays over a block then stay in the processor's cache.
+SMALL_BLOCK_BYTES = 1 << 17
 
 IN_WORD = np.ones(256, bool)
 IN_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -144,4 +146,4 @@ def text_blocks(
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
         del batch, data, offsets  # before the next one arrives
-    give_back()
+        give_back()

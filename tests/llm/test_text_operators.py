@@ -11,7 +11,8 @@ from __spark_entry__ import oracle_sql, queries
 from ledgerflow.llm import embedding_dedup, minhash, mixing, packing, pairwise_quality, quality_rules
 from ledgerflow.llm import reply_trees, sharding, substring_dedup, toxicity
 from ledgerflow.llm.queries import tokenizer_path
-from ledgerflow.llm.tables import Scratch
+from ledgerflow.llm.tables import Scratch, filter_texts
+from ledgerflow.llm.words import SMALL_BLOCK_BYTES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket int, place string, shard int"
 
@@ -265,3 +266,15 @@ def test_pipeline_stages(spark, docs, sf_dir):
         found = kept.put(name, stage(spark, found, sf_dir))
         assert found.columns == docs.columns
     assert found.where("doc_id in (6, 7, 8)").count() == 0
+
+
+def test_texts_are_filtered_in_small_blocks(spark):
+    texts = ["bad word " + "x" * 2000 if n % 5 == 0 else "fine text " + "y" * 2000 for n in range(400)]
+    docs = spark.createDataFrame([*enumerate(texts), (400, None), (401, "z" * 300_000)], "doc_id long, text string").coalesce(1)
+
+    def keeps(data, offsets):
+        assert len(data) <= SMALL_BLOCK_BYTES or len(offsets) == 2, "arrays over a large block fill the worker's memory"
+        return np.array([not data[a:b].tobytes().startswith(b"bad") for a, b in zip(offsets[:-1], offsets[1:])])
+
+    kept = sorted(row["doc_id"] for row in filter_texts(docs, keeps).collect())
+    assert kept == [n for n in range(402) if n >= 400 or n % 5]
