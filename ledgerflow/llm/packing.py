@@ -8,7 +8,8 @@ exceeds what it replaces. Bins that stay visibly open are packed again in larger
 such pieces alone.
 
 Words are independent in this tokenizer: its pre-tokenizer splits at white space. So each distinct
-word of a block is tokenized once and the ids are laid out by array operations.
+word of a block is tokenized once and the ids are laid out by array operations. A task holds the ids of one pool once
+and copies them out a small batch at a time; the second level packs lengths, and a join brings the ids.
 
 Null and empty texts give one token, the end mark. Repeated rows are packed each on its own. Order
 and ties don't change the lengths of a pool; empty tables give no rows. Other columns are ignored.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import os
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.tables import Scratch
-from ledgerflow.llm.words import give_back, span_hashes, text_blocks, word_spans
+from ledgerflow.llm.words import BLOCK_BYTES, give_back, span_hashes, text_blocks, word_spans
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,8 @@ class Packing:
     end_id: int = 0
     #: Tokens of the pieces that a task packs together.
     pool_tokens: int = 8 << 20
+    #: A pool with so many pieces is packed as it is; only very short ones are as many.
+    pool_pieces: int = 1 << 18
     #: Tokens of which a task packs left-over pieces together.
     second_pool_tokens: int = 16 << 20
     #: A bin with at least so much room is packed again.
@@ -44,6 +48,10 @@ class Packing:
     cached_words: int = 1_500_000
 
 
+#: Words that the tokenizer gets at once; what it returns takes far more memory than their ids.
+ENCODED_WORDS = 4096
+
+
 class WordTokenizer:
     """Ids of whole texts; a distinct word is tokenized once, and forgotten only when too many are known."""
 
@@ -57,19 +65,21 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        sizes, ids = [], [self.ids]
+        for at in range(0, len(words), ENCODED_WORDS):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(words[at : at + ENCODED_WORDS], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.uint32, len(found)))
+            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(sizes[-1].sum())))
+        starts = len(self.ids) + np.cumsum(np.concatenate(sizes), dtype=np.int64) - np.concatenate(sizes)
+        self.ids = np.concatenate(ids)
         at = np.searchsorted(self.hashes, hashes)  # both in order
         self.hashes = np.insert(self.hashes, at, hashes)
         self.starts = np.insert(self.starts, at, starts)
-        self.sizes = np.insert(self.sizes, at, sizes)
-        self.ids = np.concatenate([self.ids, ids])
+        self.sizes = np.insert(self.sizes, at, np.concatenate(sizes))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and each text's first id."""
@@ -89,7 +99,8 @@ class WordTokenizer:
         sizes = self.sizes[where]
         total = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=total[1:])
-        take = np.arange(total[-1]) + np.repeat(self.starts[where] - total[:-1], sizes)
+        take = np.repeat(self.starts[where] - total[:-1], sizes)
+        take += np.arange(total[-1])
         return self.ids[take], total[first]
 
 
@@ -167,28 +178,51 @@ def best_two_fit(lengths: np.ndarray, most: int) -> list[list[int]]:
     return bins
 
 
-PIECES = "doc_id long, piece int, start long, length long, ids binary"
-PLACED = f"{PIECES}, sequence_id long, offset long"
+PLACED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+#: Ids and rows of an Arrow batch of placed pieces, at most; one piece may have more ids.
+BATCH_TOKENS, BATCH_ROWS = 1 << 18, 4096
 
 
-def _lay_out(rows: pa.Table, most: int, base: int) -> pa.Table:
-    """The pieces of one pool with their sequence and place in it; sequences count from `base`."""
-    lengths = rows["length"].to_numpy()
+def _lay_out(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of one pool in the order of their sequences; each one's sequence, from 0, and place in it."""
     bins = best_two_fit(lengths, most)
     order = np.fromiter((i for b in bins for i in b), np.int64, len(lengths))
     sizes = np.fromiter(map(len, bins), np.int64, len(bins))
     sequence = np.repeat(np.arange(len(bins)), sizes)
     ahead = np.cumsum(lengths[order]) - lengths[order]
     offset = ahead - np.repeat(ahead[np.cumsum(sizes) - sizes], sizes) if len(bins) else ahead
-    out = rows.take(pa.array(order))
-    return out.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
-
-
-def _room(placed: pa.Table, most: int) -> np.ndarray:
-    """Whether each piece's sequence has visible room, as free tokens."""
-    sequence, length = placed["sequence_id"].to_numpy(), placed["length"].to_numpy()
-    _, place = np.unique(sequence, return_inverse=True)
-    return most - np.bincount(place, weights=length)[place].astype(np.int64)
+    return order, sequence, offset
+
+
+def _id_column(held: np.ndarray, begin: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The ids of some pieces, each from its first on, as bytes."""
+    ends = np.cumsum(length)
+    ids = held[np.arange(ends[-1]) + np.repeat(begin - (ends - length), length)]
+    offsets = np.concatenate([[0], ends * held.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _placed(rows: pa.Table, held: np.ndarray, most: int, base: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of one pool with ids, place and their sequence's free tokens; sequences count from `base`.
+
+    `held` has the ids of all pieces one after the other. They are copied a batch at a time.
+    """
+    length = rows["length"].to_numpy()
+    order, sequence, offset = _lay_out(length, most)
+    begin = (np.cumsum(length) - length)[order]
+    length = length[order]
+    room = most - np.bincount(sequence, weights=length).astype(np.int64)[sequence]
+    ends = np.cumsum(length)
+    at = 0
+    while at < len(order):
+        to = int(np.searchsorted(ends, ends[at] - length[at] + BATCH_TOKENS, side="right"))
+        to = min(max(to, at + 1), at + BATCH_ROWS)
+        part = rows.take(pa.array(order[at:to]))
+        part = part.append_column("ids", _id_column(held, begin[at:to], length[at:to]))
+        for name, values in (("sequence_id", sequence + base), ("offset", offset), ("room", room)):
+            part = part.append_column(name, pa.array(values[at:to]))
+        yield from part.combine_chunks().to_batches()
+        at = to
 
 
 def pack(docs: DataFrame, scratch: Scratch, p: Packing) -> DataFrame:
@@ -200,38 +234,39 @@ def pack(docs: DataFrame, scratch: Scratch, p: Packing) -> DataFrame:
         tokenizer = worker_tokenizer(p.tokenizer, p.cached_words)
         base = TaskContext.get().partitionId() << 36
         pool: list[pa.Table] = []
-        tokens = 0
+        held = np.empty(p.pool_tokens + BLOCK_BYTES, "<u4")  # the ids of the pool's pieces; takes memory where written
+        pieces = tokens = 0
 
         def close():
-            nonlocal base, tokens
-            rows = pa.concat_tables(pool)
-            placed = _lay_out(rows, p.length, base)
-            base += rows.num_rows
+            nonlocal base, pieces, tokens
+            rows = pa.concat_tables(pool).combine_chunks()
             pool.clear()
-            tokens = 0
-            placed = placed.append_column("room", pa.array(_room(placed, p.length)))
-            yield from placed.combine_chunks().to_batches(max_chunksize=4096)
+            yield from _placed(rows, held[:tokens], p.length, base)
+            base += rows.num_rows
+            pieces = tokens = 0
 
         for part, data, offsets in text_blocks(batches):
             ids, first = tokenizer.encode(data, offsets)
             doc, number, size = cut_points(first, p.length)
             marked = np.insert(ids, first[1:], p.end_id).astype("<u4")  # an end mark after each text
-            start = number * p.length
-            begin = first[doc] + doc + start
-            ids_of = [marked[a:b].tobytes() for a, b in zip(begin.tolist(), (begin + size).tolist())]
             columns = [
                 part.column("doc_id").take(pa.array(doc)),
                 pa.array(number.astype(np.int32)),
-                pa.array(start),
+                pa.array(number * p.length),
                 pa.array(size),
-                pa.array(ids_of, pa.binary()),
             ]
-            pool.append(pa.table(columns, names=["doc_id", "piece", "start", "length", "ids"]))
-            tokens += int(size.sum())
-            if tokens >= p.pool_tokens:
+            pool.append(pa.table(columns, names=["doc_id", "piece", "start", "length"]))
+            if tokens + len(marked) > len(held):
+                held = np.concatenate([held[:tokens], marked])
+            else:
+                held[tokens : tokens + len(marked)] = marked
+            pieces += len(size)
+            tokens += len(marked)
+            if tokens >= p.pool_tokens or pieces >= p.pool_pieces:
                 yield from close()
         if pool:
             yield from close()
+        del held
         give_back()
 
     packed = docs.select("doc_id", "text").mapInArrow(first_level, f"{PLACED}, room long")
@@ -243,9 +278,17 @@ def pack(docs: DataFrame, scratch: Scratch, p: Packing) -> DataFrame:
 
     def second_level(key, rows):
         rows = rows.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
-        rows = rows.select(["doc_id", "piece", "start", "length", "ids"])
-        return _lay_out(rows, most, -((key[0].as_py() + 1) << 36))
+        order, sequence, offset = _lay_out(rows["length"].to_numpy(), most)
+        moved = rows.select(["sequence_id", "offset"]).take(pa.array(order))
+        moved = moved.append_column("to_sequence", pa.array(sequence - ((key[0].as_py() + 1) << 36)))
+        return moved.append_column("to_offset", pa.array(offset))
 
     pool = F.pmod(F.xxhash64("sequence_id"), F.lit(pools))
-    again = opened.groupBy(pool.alias("pool")).applyInArrow(second_level, PLACED)
+    lengths = opened.select("sequence_id", "offset", "length")  # ids aren't gathered in a group
+    moves = lengths.groupBy(pool.alias("pool")).applyInArrow(
+        second_level, "sequence_id long, offset long, to_sequence long, to_offset long"
+    )
+    again = opened.join(moves, ["sequence_id", "offset"]).select(
+        "doc_id", "piece", "start", "length", "ids", F.col("to_sequence").alias("sequence_id"), F.col("to_offset").alias("offset")
+    )
     return closed.unionByName(again)

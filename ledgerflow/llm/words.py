@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 #: The same where nothing is shared between texts: the arrays over a block then stay in the processor's cache.
 SMALL_BLOCK_BYTES = 1 << 17
+#: Bytes whose hashes are computed together; the arrays over them take eight times as much.
+HASHED_BYTES = 1 << 18
 
 IN_WORD = np.ones(256, bool)
 IN_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -40,15 +42,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers() -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, up to two blocks."""
+    """Powers of the base and of its inverse modulo 2**64, as many as bytes are hashed together."""
     if not _POWERS:
         for base in (_BASE, pow(_BASE, -1, 2**64)):
-            steps = np.full(2 * BLOCK_BYTES + 1, base, np.uint64)
+            steps = np.full(HASHED_BYTES + 1, base, np.uint64)
             steps[0] = 1
             _POWERS.append(np.cumprod(steps, dtype=np.uint64))
     return _POWERS
 
 
+def _long_hash(span: np.ndarray) -> np.uint64:
+    """The hash of a span of more bytes than are hashed together, from the sums of its parts."""
+    if len(span) > 2 * BLOCK_BYTES:
+        return np.uint64(int.from_bytes(hashlib.blake2b(span.tobytes(), digest_size=8).digest(), "little"))
+    total = len(span)
+    for at in range(0, len(span), HASHED_BYTES):
+        part = span[at : at + HASHED_BYTES]
+        total += int((_BYTE_CODES[part] * _powers()[0][: len(part)]).sum()) * pow(_BASE, at, 2**64)
+    return mix(np.array([total % 2**64], np.uint64))[0]
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each span; spans are in order and don't overlap."""
     powers, inverse = _powers()
@@ -56,10 +69,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     at = 0
     while at < len(starts):
         base = int(starts[at])
-        to = int(np.searchsorted(ends, base + 2 * BLOCK_BYTES, side="right"))
-        if to <= at:  # one span of more than two blocks
-            digest = hashlib.blake2b(data[base : int(ends[at])].tobytes(), digest_size=8).digest()
-            out[at] = int.from_bytes(digest, "little")
+        to = int(np.searchsorted(ends, base + HASHED_BYTES, side="right"))
+        if to <= at:
+            out[at] = _long_hash(data[base : int(ends[at])])
             at += 1
             continue
         piece = data[base : int(ends[to - 1])]
